@@ -669,26 +669,35 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 
 
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales lines with their order, customer, nation and region."""
-    return m.fact_table(
-        table(spark, sf_dir, "lineitem"),
+    """Sales lines with their order, customer, nation and region.
+
+    The chain is joined from its far end, so that the lines, the largest table, are
+    shuffled once at most.
+    """
+    nations = m.fact_table(
+        table(spark, sf_dir, "nation"),
+        [m.Link(table(spark, sf_dir, "region"), {"n_regionkey": "r_regionkey"})],
+    )
+    customers = m.fact_table(
+        m.dimension(
+            table(spark, sf_dir, "customer"), ["c_custkey"], ["c_mktsegment", "c_nationkey"]
+        ),
+        [m.Link(nations, {"c_nationkey": "n_nationkey"}, ["n_name", "r_name"])],
+    )
+    orders = m.fact_table(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         [
             m.Link(
-                table(spark, sf_dir, "orders"),
-                {"l_orderkey": "o_orderkey"},
-                ["o_custkey", "o_orderdate"],
-            ),
-            m.Link(
-                m.dimension(
-                    table(spark, sf_dir, "customer"),
-                    ["c_custkey"],
-                    ["c_mktsegment", "c_nationkey"],
-                ),
+                customers,
                 {"o_custkey": "c_custkey"},
-            ),
-            m.Link(table(spark, sf_dir, "nation"), {"c_nationkey": "n_nationkey"}, unique=False),
-            m.Link(table(spark, sf_dir, "region"), {"n_regionkey": "r_regionkey"}, unique=False),
+                ["c_mktsegment", "n_name", "r_name"],
+                unique=True,
+            )
         ],
+    )
+    return m.fact_table(
+        table(spark, sf_dir, "lineitem"),
+        [m.Link(orders, {"l_orderkey": "o_orderkey"})],
         [
             "l_orderkey",
             "l_linenumber",

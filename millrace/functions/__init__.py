@@ -9,6 +9,7 @@ from millrace.functions.columns import (
     normalize_name,
     quoted,
     row_hash,
+    sql_try_cast,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "normalize_name",
     "quoted",
     "row_hash",
+    "sql_try_cast",
 ]

@@ -20,6 +20,7 @@ from millrace.functions.columns import (
     normalize_name,
     pick,
     quoted,
+    sql_name,
     string_columns,
 )
 
@@ -36,14 +37,14 @@ CALENDAR_PARTS = {
 def trim_whitespace(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Strip outer spaces (not tabs or line ends) from the given or from all string columns."""
     names = string_columns(df) if columns is None else columns
-    return df.withColumns({c: F.trim(quoted(c)) for c in names}) if names else df
+    return df.withColumns({c: F.expr(f"trim({sql_name(c)})") for c in names}) if names else df
 
 
 def standardize_nulls(df: DataFrame, null_values: Sequence[str] | None = None) -> DataFrame:
     """Turn null-like words in string columns into nulls. A given list replaces the usual one."""
     words = list(null_values or NULL_WORDS)
     names = string_columns(df)
-    return df.withColumns({c: blank_to_null(quoted(c), words) for c in names}) if names else df
+    return df.withColumns({c: blank_to_null(c, words) for c in names}) if names else df
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:

@@ -5,11 +5,28 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from millrace.functions.columns import pick, quoted
+from millrace.functions.columns import pick, quoted, unused_name
 from millrace.operators.dedup import remove_duplicates, window_dedup
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """A table made unique for use as the lookup side of a join.
+
+    Adaptive execution splits hot keys only where both sides are shuffled for the join
+    itself. Deduplicating by a hash next to the key, which groups the same rows, keeps the
+    join from reusing that shuffle: a large lookup is sent once more, and the other side,
+    which is larger still, stays splittable.
+    """
+    spread = unused_name(df, "__spread")
+    spread_out = df.withColumn(spread, F.xxhash64(*[quoted(k) for k in keys]))
+    rows = [*keys, spread]
+    if order_by:
+        return window_dedup(spread_out, rows, order_by).drop(spread)
+    return remove_duplicates(spread_out, rows).drop(spread)
+
+
 def enrich(
     df: DataFrame,
     lookup: DataFrame,
@@ -26,9 +43,8 @@ def enrich(
     match, and rows with a null key, get nulls.
 
     No broadcast hint is given. Spark broadcasts the lookup when its size is below
-    `spark.sql.autoBroadcastJoinThreshold`; a larger one takes a sort-merge join, whose
-    deduplication already has the lookup partitioned by the join key and whose hot keys
-    adaptive execution splits on the side of `df`.
+    `spark.sql.autoBroadcastJoinThreshold`. A larger one takes a sort-merge join, in which
+    adaptive execution cuts the hot keys of `df`, null among them, into several tasks.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     if not pairs:
@@ -44,7 +60,7 @@ def enrich(
     needed = list(dict.fromkeys([*keys, *added, *([] if unique else ranked)]))
     side = lookup.select(*[pick(lookup, c).alias(c) for c in needed])
     if not unique:
-        side = window_dedup(side, keys, ranked) if ranked else remove_duplicates(side, keys)
+        side = one_per_key(side, keys, ranked)
     # Key columns get names of their own, so that a lookup may share names with `df`.
     names = {k: f"__key_{i}" for i, k in enumerate(keys)}
     side = side.select(

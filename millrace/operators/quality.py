@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import pick, quoted
+from millrace.functions.columns import pick, quoted, sql_name, sql_text, sql_texts
 
 # The thresholds used when a check block names none.
 NULL_THRESHOLD = 0.05
@@ -22,11 +22,16 @@ ROW_COUNT_MIN = 0
 WIDE_TABLE = 32
 
 
+def _null_counts(columns: Sequence[str]) -> str:
+    return f"array({', '.join(f'count(1) - count({sql_name(c)})' for c in columns)})"
+
+
 def profile_metrics(columns: Sequence[str]) -> list[Column]:
-    """The row count and one null count per column, for `agg` or `observe`."""
-    rows = F.count(F.lit(1))
-    nulls = [(rows - F.count(quoted(c))).alias(f"nulls_{i}") for i, c in enumerate(columns)]
-    return [rows.alias("row_count"), *nulls]
+    """The row count and the null count of every column, for `agg` or `observe`."""
+    return [
+        F.expr("count(1)").alias("row_count"),
+        F.expr(_null_counts(columns)).alias("null_counts"),
+    ]
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -40,12 +45,16 @@ def _keyed_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     The table is profiled per key, then summed. A table that is already partitioned by the
     key, as deduplication leaves it, is not shuffled again.
     """
-    metrics = profile_metrics(df.columns)
-    per_key = df.groupBy(*[pick(df, k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(*metrics)
-    names = ["row_count", *[f"nulls_{i}" for i in range(len(df.columns))]]
-    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
-    surplus = F.coalesce(F.sum("row_count") - F.count(F.lit(1)), F.lit(0))
-    return per_key.agg(*sums, surplus.alias("duplicate_count"))
+    values = [F.expr(f"count({sql_name(c)}) AS v{i}") for i, c in enumerate(df.columns)]
+    per_key = df.groupBy(*[pick(df, k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(
+        F.expr("count(1) AS n"), *values
+    )
+    nulls = ", ".join(f"coalesce(sum(n) - sum(v{i}), 0)" for i in range(len(values)))
+    return per_key.selectExpr(
+        "coalesce(sum(n), 0) AS row_count",
+        f"array({nulls}) AS null_counts",
+        "coalesce(sum(n) - count(1), 0) AS duplicate_count",
+    )
 
 
 def null_rates(df: DataFrame, null_threshold: float = NULL_THRESHOLD) -> DataFrame:
@@ -53,21 +62,15 @@ def null_rates(df: DataFrame, null_threshold: float = NULL_THRESHOLD) -> DataFra
 
     A table without rows has no rates, and every column fails.
     """
-    total = F.col("row_count")
-    lines = []
-    for i, name in enumerate(df.columns):
-        nulls = F.col(f"nulls_{i}")
-        rate = F.when(total > 0, nulls / total)
-        lines.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                total.alias("row_count"),
-                nulls.alias("null_count"),
-                rate.alias("null_rate"),
-                F.coalesce(rate <= F.lit(float(null_threshold)), F.lit(False)).alias("passed"),
-            )
-        )
-    return profile(df).select(F.inline(F.array(*lines)))
+    per_column = profile(df).selectExpr(
+        f"inline(arrays_zip({sql_texts(df.columns)}, null_counts)) AS (column, null_count)",
+        "row_count",
+    )
+    rated = per_column.selectExpr(
+        "column", "row_count", "null_count", "try_divide(null_count, row_count) AS null_rate"
+    )
+    passed = F.coalesce(F.col("null_rate") <= float(null_threshold), F.lit(False))
+    return rated.withColumn("passed", passed)
 
 
 def uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -101,14 +104,13 @@ def row_count_check(df: DataFrame, row_count_min: int) -> DataFrame:
     )
 
 
-def _line(check: str, subject: str, observed: Column, threshold: float, passed: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(subject).alias("subject"),
-        observed.cast("double").alias("observed"),
-        F.lit(float(threshold)).alias("threshold"),
-        passed.alias("passed"),
-    )
+def _line(check: str, subject: str, observed: str, threshold: float, passed: str) -> str:
+    return f"""named_struct(
+        'check', '{check}',
+        'subject', {subject},
+        'observed', CAST({observed} AS DOUBLE),
+        'threshold', CAST('{float(threshold)}' AS DOUBLE),
+        'passed', {passed})"""
 
 
 def gate_lines(df: DataFrame, checks: Mapping, profiled: DataFrame | None = None) -> DataFrame:
@@ -123,25 +125,26 @@ def gate_lines(df: DataFrame, checks: Mapping, profiled: DataFrame | None = None
     elif profiled is None:
         profiled = profile(df)
 
-    total, surplus = F.col("row_count"), F.col("duplicate_count")
-    rates = [F.col(f"nulls_{i}") / total for i in range(len(df.columns))]
-    per_column = F.array(
-        *[
-            _line("null_rate", name, rate, threshold, rate <= threshold)
-            for name, rate in zip(df.columns, rates)
-        ]
-    )
-    no_rows = F.array(_line("null_rate", "*", F.lit(None), threshold, F.lit(False)))
-    lines = F.when(total > 0, per_column).otherwise(no_rows)
+    rate = "nulls / row_count"
+    within = f"{rate} <= CAST('{threshold}' AS DOUBLE)"
+    per_column = _line("null_rate", "name", rate, threshold, within)
+    no_rows = _line("null_rate", "'*'", "NULL", threshold, "false")
+    lines = [
+        f"""IF(row_count > 0,
+            zip_with({sql_texts(df.columns)}, null_counts, (name, nulls) -> {per_column}),
+            array({no_rows}))"""
+    ]
     if minimum > 0:
-        enough = _line("row_count", "*", total, minimum, total >= minimum)
-        lines = F.concat(lines, F.array(enough))
-    unique = _line("uniqueness", ", ".join(keys), surplus, 0, surplus == 0)
+        enough = _line("row_count", "'*'", "row_count", minimum, f"row_count >= {minimum}")
+        lines.append(f"array({enough})")
+    unique = _line(
+        "uniqueness", sql_text(", ".join(keys)), "duplicate_count", 0, "duplicate_count = 0"
+    )
     if keyed:
-        lines = F.concat(lines, F.array(unique))
-    result = profiled.select(F.inline(lines))
+        lines.append(f"array({unique})")
+    result = profiled.selectExpr(f"inline(concat({', '.join(lines)}))")
     if keys and not keyed:
-        result = result.unionByName(uniqueness(df, keys).select(F.inline(F.array(unique))))
+        result = result.unionByName(uniqueness(df, keys).selectExpr(f"inline(array({unique}))"))
     return result
 
 

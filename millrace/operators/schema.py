@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import quoted
+from millrace.functions.columns import sql_name, sql_texts, sql_try_cast
 
 # The type names a declared schema may use. Any other name is read as a
 # Spark type string such as decimal(12,2) or array<float>.
@@ -68,17 +68,18 @@ def schema_drift(df: DataFrame, fields: Fields) -> DataFrame:
     return df.sparkSession.createDataFrame(_drift(df, schema_from_spec(fields)), DRIFT_SCHEMA)
 
 
-def _misfits(df: DataFrame, name: str, wanted: T.DataType) -> Column:
-    """How many values of a column cannot be cast to `wanted`."""
-    value = quoted(name)
-    if df.schema[name].dataType.simpleString() == wanted.simpleString():
-        return F.lit(0).cast("bigint")
+def _misfits(df: DataFrame, name: str, wanted: T.DataType) -> str:
+    """How many values of a column cannot be cast to `wanted`, in SQL."""
+    actual = df.schema[name].dataType
+    if actual.simpleString() == wanted.simpleString():
+        return "0L"
+    cast = sql_try_cast(name, actual, wanted)
     try:
-        df.select(value.try_cast(wanted)).schema
+        df.selectExpr(cast).schema
     except AnalysisException:
         # Spark has no such cast at all, so no value survives it.
-        return F.count(value)
-    return F.count_if(value.isNotNull() & value.try_cast(wanted).isNull())
+        return f"count({sql_name(name)})"
+    return f"count({sql_name(name)}) - count({cast})"
 
 
 def drift_report(df: DataFrame, fields: Fields) -> DataFrame:
@@ -92,25 +93,17 @@ def drift_report(df: DataFrame, fields: Fields) -> DataFrame:
     lines = _drift(df, declared)
     if not lines:
         return schema_drift(df, fields).withColumn("affected_rows", F.lit(0).cast("bigint"))
-    counts, rows = [], []
-    for i, (name, kind, expected, actual) in enumerate(lines):
-        if kind == "missing":
-            count = F.count(F.lit(1))
-        elif kind == "new":
-            count = F.count(quoted(name))
-        else:
-            count = _misfits(df, name, declared[name].dataType)
-        counts.append(count.alias(f"n{i}"))
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.lit(kind).alias("kind"),
-                F.lit(expected).cast("string").alias("expected"),
-                F.lit(actual).cast("string").alias("actual"),
-                F.col(f"n{i}").alias("affected_rows"),
-            )
-        )
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+    counts = {
+        "missing": lambda name: "count(1)",
+        "new": lambda name: f"count({sql_name(name)})",
+        "type": lambda name: _misfits(df, name, declared[name].dataType),
+    }
+    affected = ", ".join(counts[kind](name) for name, kind, _, _ in lines)
+    described = ", ".join(sql_texts(part) for part in zip(*lines))
+    return df.selectExpr(f"array({affected}) AS affected").selectExpr(
+        f"""inline(arrays_zip({described}, affected))
+        AS (column, kind, expected, actual, affected_rows)"""
+    )
 
 
 def cast_to_schema(df: DataFrame, fields: Fields) -> DataFrame:
@@ -119,11 +112,11 @@ def cast_to_schema(df: DataFrame, fields: Fields) -> DataFrame:
     Columns that are not declared stay as they are, declared ones that are absent are left
     to the drift check. `contract_violations` counts the values lost.
     """
-    have = {f.name: f.dataType.simpleString() for f in df.schema}
+    have = {f.name: f.dataType for f in df.schema}
     casts = {
-        f.name: quoted(f.name).try_cast(f.dataType)
+        f.name: F.expr(sql_try_cast(f.name, have[f.name], f.dataType))
         for f in schema_from_spec(fields)
-        if have.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()
+        if f.name in have and have[f.name].simpleString() != f.dataType.simpleString()
     }
     return df.withColumns(casts) if casts else df
 
@@ -137,28 +130,41 @@ def contract_violations(df: DataFrame, fields: Fields) -> DataFrame:
     if not declared.fields:
         raise ValueError("the declared schema has no fields")
     have = set(df.columns)
-    none = F.lit(0).cast("bigint")
-    metrics, rows = [F.count(F.lit(1)).alias("n")], []
-    for i, field in enumerate(declared):
-        present = field.name in have
+
+    def nulls(field: T.StructField) -> str:
         if field.nullable:
-            nulls = none
-        else:
-            nulls = F.count_if(quoted(field.name).isNull()) if present else F.count(F.lit(1))
-        misfits = _misfits(df, field.name, field.dataType) if present else none
-        metrics += [nulls.alias(f"nulls_{i}"), misfits.alias(f"misfits_{i}")]
-        rows.append(
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.lit(field.dataType.simpleString()).alias("expected"),
-                F.lit(field.nullable).alias("nullable"),
-                F.col("n").alias("row_count"),
-                F.col(f"nulls_{i}").alias("null_violations"),
-                F.col(f"misfits_{i}").alias("cast_failures"),
-                (F.col(f"nulls_{i}") + F.col(f"misfits_{i}") == 0).alias("passed"),
-            )
-        )
-    return df.agg(*metrics).select(F.inline(F.array(*rows)))
+            return "0L"
+        return f"count(1) - count({sql_name(field.name)})" if field.name in have else "count(1)"
+
+    def misfits(field: T.StructField) -> str:
+        return _misfits(df, field.name, field.dataType) if field.name in have else "0L"
+
+    counted = df.selectExpr(
+        "count(1) AS row_count",
+        f"array({', '.join(map(nulls, declared))}) AS nulls",
+        f"array({', '.join(map(misfits, declared))}) AS misfits",
+    )
+    described = ", ".join(
+        [
+            sql_texts(f.name for f in declared),
+            sql_texts(f.dataType.simpleString() for f in declared),
+            f"array({', '.join(str(f.nullable) for f in declared)})",
+        ]
+    )
+    lines = counted.selectExpr(
+        f"""inline(arrays_zip({described}, nulls, misfits))
+        AS (column, expected, nullable, null_violations, cast_failures)""",
+        "row_count",
+    )
+    return lines.selectExpr(
+        "column",
+        "expected",
+        "nullable",
+        "row_count",
+        "null_violations",
+        "cast_failures",
+        "null_violations + cast_failures = 0 AS passed",
+    )
 
 
 def load_fields(spark, path: str) -> list[dict]:

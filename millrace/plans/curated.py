@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from millrace.functions.columns import pick
-from millrace.operators.dedup import remove_duplicates, window_dedup
-from millrace.operators.lookup import enrich
+from millrace.operators.lookup import enrich, one_per_key
 from millrace.sources.tables import write_table
 
 
@@ -23,10 +22,7 @@ def dimension(
     ranked = [order_by] if isinstance(order_by, str) else list(order_by or [])
     names = list(dict.fromkeys([*key, *attributes, *ranked]))
     rows = df.select(*[pick(df, c).alias(c) for c in names])
-    if ranked:
-        rows = window_dedup(rows, key, ranked)
-    else:
-        rows = remove_duplicates(rows, key)
+    rows = one_per_key(rows, key, ranked)
     return rows.select(*[pick(rows, c).alias(c) for c in dict.fromkeys([*key, *attributes])])
 
 
@@ -34,13 +30,13 @@ def dimension(
 class Link:
     """How a fact reaches a dimension: `on` maps its columns to the key of the dimension.
 
-    `unique` says that the key is known to be unique, as `dimension` makes it.
+    `unique` says that the key is known to be unique, which saves making it so.
     """
 
     dimension: DataFrame
     on: Mapping[str, str]
     columns: Sequence[str] | None = None
-    unique: bool = True
+    unique: bool = False
 
 
 def fact_table(
@@ -49,7 +45,9 @@ def fact_table(
     """A fact joined to its dimensions, one row per row of `fact`.
 
     Links are followed in order, so a later one may use columns that an earlier one added.
-    Facts without a match keep nulls.
+    Facts without a match keep nulls. A chain of large dimensions is best joined from its
+    far end: make a fact table of orders and customers first and link the sales lines to
+    that, and the lines are shuffled once, not once per dimension.
     """
     for link in links:
         fact = enrich(fact, link.dimension, link.on, link.columns, unique=link.unique)

@@ -257,7 +257,10 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
             if any(name in SHUFFLING for name, _ in _steps(spec)):
                 staged = StagedTable(df, quality.profile_metrics(df.columns), parts)
                 df, gathered = staged.df, True
-                known = spark.createDataFrame([Row(**staged.metrics)])
+                known = spark.createDataFrame(
+                    [(staged.metrics["row_count"], list(staged.metrics["null_counts"]))],
+                    "row_count bigint, null_counts array<bigint>",
+                )
             run.quality = quality.gate_lines(df, checks, known).collect()
             failed = quality.failures(run.quality)
             record.event("quality_checked", "ERROR" if failed else "INFO", detail="; ".join(failed))

@@ -56,8 +56,10 @@ def test_small_lookups_are_broadcast_and_large_ones_are_not(spark, sales, names,
     try:
         out = m.enrich(left, right, ["k"])
         text = plan(out)
-        # One shuffle a side: deduplication leaves the lookup partitioned by the join key.
-        assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2
+        # The fact is shuffled once, the lookup to make it unique and to join it.
+        assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 3
+        unique = plan(m.enrich(left, right, ["k"], unique=True))
+        assert unique.count("Exchange hashpartitioning") == 2
         assert out.count() == 4
     finally:
         spark.conf.set(limit, before)
@@ -78,6 +80,39 @@ def test_hot_and_null_foreign_keys(spark, names):
     assert got == {"new": 10_000, None: 20_000}
 
 
+def test_a_hot_key_is_split_over_tasks(spark, tmp_path):
+    """Adaptive execution cuts the partition of a hot foreign key into several tasks."""
+    lines = spark.range(0, 300_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 7, id % 1000) AS k", "md5(cast(id AS string)) AS v"
+    )
+    lines.write.parquet(str(tmp_path / "lines"))
+    spark.range(1000).selectExpr("id AS k", "concat('n', id) AS label").write.parquet(
+        str(tmp_path / "names")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        names = spark.read.parquet(str(tmp_path / "names"))
+        for lookup, unique in ((names, False), (names, True), (m.dimension(names, ["k"], ["label"]), True)):
+            out = m.enrich(spark.read.parquet(str(tmp_path / "lines")), lookup, ["k"], unique=unique)
+            assert len([r for r in out.collect() if r["label"]]) == 300_000
+            assert "skew=true" in plan(out)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def test_dimension(names):
     assert rows(m.dimension(names, ["k"], ["label"], "t")) == [("a", "new"), ("b", "bee"), (None, "void")]
     assert rows(m.dimension(names, ["k"], ["label"])) == [("a", "new"), ("b", "bee"), (None, "void")]
