@@ -8,12 +8,14 @@ columns and transforms.
 
 from __future__ import annotations
 
+import logging
 import re
 import time
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from millrace.functions.columns import normalize_name, pick
 from millrace.operators import cleanse, dedup, ledger, lookup, quality, schema
 from millrace.sources.tables import StagedTable, read_table, write_table
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class PipelineRun:
@@ -142,6 +146,12 @@ def _checked(spec: Mapping) -> None:
             raise ValueError("an incremental source needs a ledger to keep its watermark")
 
 
+def _under(root: str, job_name: str, run_id: str | None = None) -> str:
+    """The folder of a job, or of one of its runs, below a ledger or log."""
+    names = [f"job-{job_name}"] + ([f"run-{run_id}"] if run_id is not None else [])
+    return "/".join([root.rstrip("/"), *(re.sub(r"[^A-Za-z0-9.-]", "_", n) for n in names)])
+
+
 class _Recorder:
     """Writes the ledger rows of one run, and its events once it has ended.
 
@@ -151,10 +161,10 @@ class _Recorder:
 
     def __init__(self, spark: SparkSession, spec: Mapping, run: PipelineRun):
         self.spark, self.run, self.started = spark, run, time.monotonic()
-        parts = [re.sub(r"[^A-Za-z0-9.-]", "_", p) for p in (run.job_name, run.run_id)]
-        folder = f"job-{parts[0]}/run-{parts[1]}"
-        self.ledger = f"{spec['ledger'].rstrip('/')}/{folder}" if spec.get("ledger") else None
-        self.log = f"{spec['event_log'].rstrip('/')}/{folder}" if spec.get("event_log") else None
+        self.ledger, self.log = [
+            _under(spec[k], run.job_name, run.run_id) if spec.get(k) else None
+            for k in ("ledger", "event_log")
+        ]
         self.events: list[tuple] = []
 
     def state(self, status: str, error: str | None = None) -> None:
@@ -192,13 +202,18 @@ class _Recorder:
 
 
 def _previous(spark: SparkSession, spec: Mapping) -> DataFrame | None:
-    """The rows of the job in the ledger, or None before its first run."""
+    """What the ledger says about earlier runs of the job, or None before the first one.
+
+    Only the folder of the job is listed, however many jobs share the ledger.
+    """
     if not spec.get("ledger"):
         return None
-    root = spark._jvm.org.apache.hadoop.fs.Path(spec["ledger"])
-    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+    try:
+        rows = ledger.read_ledger(spark, _under(spec["ledger"], spec["job_name"]))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    rows = ledger.read_ledger(spark, spec["ledger"])
     return rows.filter(F.col("job_name") == spec["job_name"])
 
 
@@ -232,7 +247,8 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
                 run.rows_read, run.rows_written = done[0]["rows_read"], done[0]["rows_written"]
                 record.event("run_skipped")
                 return run
-        start_mark = _watermark(previous, run.job_name) if spec["source"].get("incremental") else None
+        incremental = spec["source"].get("incremental")
+        start_mark = _watermark(previous, run.job_name) if incremental else None
         record.state(ledger.RUNNING)
         record.event("job_started")
 
@@ -277,9 +293,13 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
         record.state(ledger.FAILED, str(error))
         raise
     finally:
-        if staged is not None:
-            staged.drop()
-        record.flush()
+        # Neither a leftover folder nor a lost log line changes how the run ended.
+        for tidy in (staged.drop if staged else None, record.flush):
+            try:
+                if tidy is not None:
+                    tidy()
+            except Exception:
+                log.exception("run %s of %s left something behind", run.run_id, run.job_name)
 
 
 def _read(spark: SparkSession, spec: Mapping, run: PipelineRun, mark: str | None) -> DataFrame:

@@ -126,7 +126,11 @@ class StagedTable:
             df = df.hint("rebalance", *[quoted(c) for c in gather_by])
         seen = Observation() if metrics else None
         rows = df.observe(seen, *metrics) if seen else df
-        rows.write.parquet(self.path)
+        try:
+            rows.write.parquet(self.path)
+        except Exception:
+            self.drop()
+            raise
         self.metrics = seen.get if seen else {}
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(shared))
         .config("spark.driver.memory", "8g")
+        .config("spark.default.parallelism", "2")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
