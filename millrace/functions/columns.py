@@ -94,7 +94,7 @@ def sql_try_cast(name: str, actual: T.DataType, wanted: T.DataType) -> str:
     """
     value = sql_name(name)
     cast = f"try_cast({value} AS {wanted.simpleString()})"
-    if isinstance(actual, T.StringType):
+    if actual == T.StringType():
         for kind, pattern in _CASTABLE.items():
             if isinstance(wanted, kind):
                 return f"CASE WHEN {value} RLIKE {sql_text(pattern)} THEN {cast} END"

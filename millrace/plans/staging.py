@@ -226,7 +226,8 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
     """Run a job described by a plain dict.
 
     Required: `job_name`, `source.path`, `target.path`. Optional: `source` format, schema,
-    options and `incremental` {column}; `target` format, mode, partition_by and options;
+    options and `incremental` {column}; `target` format, mode, partition_by, options and
+    `rebalance` false where rows need not be gathered by partition value before the write;
     `schema` (declared fields, or the path of a JSON file holding them) with `on_drift`
     "warn" or "raise"; `transforms`, by default ["cleanse"], each a name or
     {"step": name, ...parameters}; `dedup`; `quality_checks`; `ledger` and `event_log`
@@ -271,7 +272,8 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
         if checks is not None:
             known = None
             if any(name in SHUFFLING for name, _ in _steps(spec)):
-                staged = StagedTable(df, quality.profile_metrics(df.columns), parts)
+                gather_by = parts if target.get("rebalance", True) else []
+                staged = StagedTable(df, quality.profile_metrics(df.columns), gather_by)
                 df, gathered = staged.df, True
                 known = spark.createDataFrame(
                     [(staged.metrics["row_count"], list(staged.metrics["null_counts"]))],
@@ -342,7 +344,7 @@ def _check_drift(df: DataFrame, spec: Mapping, run: PipelineRun, record: _Record
 
 
 def _write(df: DataFrame, target: Mapping, parts: list, gathered: bool, run: PipelineRun) -> None:
-    if parts and not gathered:
+    if parts and not gathered and target.get("rebalance", True):
         df = df.hint("rebalance", *[pick(df, c) for c in parts])
     written = Observation()
     write_table(

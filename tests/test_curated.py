@@ -113,6 +113,36 @@ def test_a_hot_key_is_split_over_tasks(spark, tmp_path):
                 spark.conf.set(key, value)
 
 
+def test_lookups_that_share_a_hot_key(spark, tmp_path):
+    """Two joins in a row on one key are split too once skew handling is forced."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    lines = spark.range(0, 300_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 7, id % 1000) AS k", "md5(cast(id AS string)) AS v"
+    )
+    first = spark.range(1000).selectExpr("id AS k", "concat('n', id) AS one")
+    second = spark.range(1000).selectExpr("id AS k", "concat('m', id) AS two")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        out = m.enrich(m.enrich(lines, first, ["k"]), second, ["k"])
+        assert len([r for r in out.collect() if r["one"][1:] == r["two"][1:]]) == 300_000
+        assert "skew=true" in plan(out)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def test_dimension(names):
     assert rows(m.dimension(names, ["k"], ["label"], "t")) == [("a", "new"), ("b", "bee"), (None, "void")]
     assert rows(m.dimension(names, ["k"], ["label"])) == [("a", "new"), ("b", "bee"), (None, "void")]
