@@ -56,9 +56,9 @@ def utc_now() -> datetime:
 
 def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema
         ]
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import sql_name, sql_texts, sql_try_cast
+from millrace.sources.tables import driver_rows
 
 # The type names a declared schema may use. Any other name is read as a
 # Spark type string such as decimal(12,2) or array<float>.
@@ -25,7 +26,9 @@ TYPE_NAMES = {
     "date": T.DateType(),
 }
 
-DRIFT_SCHEMA = "column string, kind string, expected string, actual string"
+DRIFT_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("column", "kind", "expected", "actual")]
+)
 
 Fields = Sequence[Mapping] | Mapping
 
@@ -65,7 +68,7 @@ def schema_drift(df: DataFrame, fields: Fields) -> DataFrame:
     Names are compared by letter case, types in full (precision and element types count);
     column order and nullability do not count.
     """
-    return df.sparkSession.createDataFrame(_drift(df, schema_from_spec(fields)), DRIFT_SCHEMA)
+    return driver_rows(df.sparkSession, _drift(df, schema_from_spec(fields)), DRIFT_SCHEMA)
 
 
 def _misfits(df: DataFrame, name: str, wanted: T.DataType) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import normalize_name, pick
 from millrace.operators import cleanse, dedup, ledger, lookup, quality, schema
-from millrace.sources.tables import StagedTable, read_table, write_table
+from millrace.sources.tables import StagedTable, driver_rows, read_table, write_table
 
 log = logging.getLogger(__name__)
 
@@ -183,7 +183,7 @@ class _Recorder:
             error,
         )
         ledger.append_run_events(
-            self.spark.createDataFrame([row], ledger.LEDGER_SCHEMA).coalesce(1), self.ledger
+            driver_rows(self.spark, [row], ledger.LEDGER_SCHEMA), self.ledger
         )
 
     def event(self, event, level="INFO", rows_in=None, rows_out=None, detail=None) -> None:
@@ -197,7 +197,7 @@ class _Recorder:
     def flush(self) -> None:
         if self.log is not None and self.events:
             ledger.append_log_events(
-                self.spark.createDataFrame(self.events, ledger.EVENT_SCHEMA).coalesce(1), self.log
+                driver_rows(self.spark, self.events, ledger.EVENT_SCHEMA).coalesce(1), self.log
             )
 
 
@@ -275,9 +275,9 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
                 gather_by = parts if target.get("rebalance", True) else []
                 staged = StagedTable(df, quality.profile_metrics(df.columns), gather_by)
                 df, gathered = staged.df, True
-                known = spark.createDataFrame(
-                    [(staged.metrics["row_count"], list(staged.metrics["null_counts"]))],
-                    "row_count bigint, null_counts array<bigint>",
+                nulls = ", ".join(f"{n}L" for n in staged.metrics["null_counts"])
+                known = spark.range(1).selectExpr(
+                    f"{staged.metrics['row_count']}L AS row_count", f"array({nulls}) AS null_counts"
                 )
             run.quality = quality.gate_lines(df, checks, known).collect()
             failed = quality.failures(run.quality)

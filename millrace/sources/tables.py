@@ -5,13 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import quoted
+from millrace.functions.columns import quoted, sql_name
 
 # The formats a dataset may have. Delta needs its package on the cluster.
 FORMATS = ("parquet", "json", "csv", "delta")
@@ -89,6 +89,23 @@ def land_raw(
     return path
 
 
+def driver_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A few values that the driver holds as a table.
+
+    They go into the plan as literals. `createDataFrame` would start Python workers for them.
+    """
+    values, lines = {}, []
+    for row in rows or [[None] * len(schema)]:
+        names = [f"v{len(values) + i}" for i in range(len(row))]
+        lines.append("(" + ", ".join(f":{n}" for n in names) + ")")
+        values |= {n: str(v) if isinstance(v, datetime) else v for n, v in zip(names, row)}
+    table = spark.sql(f"SELECT * FROM VALUES {', '.join(lines)}", values)
+    typed = table.toDF(*schema.names).selectExpr(
+        *[f"CAST({sql_name(f.name)} AS {f.dataType.simpleString()})" for f in schema]
+    )
+    return typed if rows else typed.limit(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -6,9 +6,11 @@ from datetime import datetime
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import millrace as m
 from conftest import plan, rows
+from millrace.sources.tables import driver_rows
 
 
 @pytest.fixture
@@ -140,6 +142,28 @@ def test_staged_table(spark, small):
     assert not os.path.exists(staged.path)
 
 
+def test_driver_rows(spark):
+    schema = T.StructType(
+        [
+            T.StructField("odd `name", T.StringType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("t", T.TimestampNTZType()),
+            T.StructField("d", T.DoubleType()),
+        ]
+    )
+    data = [
+        ("it's \\ ? :x 'q'", 2**40, datetime(2024, 1, 2, 3, 4, 5, 678901), 1.5),
+        (None, None, None, None),
+    ]
+    df = driver_rows(spark, data, schema)
+    assert df.schema.simpleString() == schema.simpleString()
+    assert rows(df) == sorted(data, key=repr)
+    assert rows(driver_rows(spark, [data[1]], schema)) == [data[1]]
+    empty = driver_rows(spark, [], schema)
+    assert empty.schema.simpleString() == schema.simpleString() and rows(empty) == []
+    assert "ExistingRDD" not in plan(df) and "LocalTableScan" in plan(df)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert m.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert m.new_folder(spark, "x") != m.new_folder(spark, "x")
