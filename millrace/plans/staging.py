@@ -18,10 +18,17 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from millrace.functions.columns import normalize_name, pick
 from millrace.operators import cleanse, dedup, ledger, lookup, quality, schema
-from millrace.sources.tables import StagedTable, driver_rows, read_table, write_table
+from millrace.sources.tables import (
+    FULL_TIMES,
+    StagedTable,
+    driver_rows,
+    read_table,
+    write_table,
+)
 
 log = logging.getLogger(__name__)
 
@@ -140,7 +147,7 @@ def _checked(spec: Mapping) -> None:
             raise ValueError("the cast step needs a declared schema")
     source, target = spec["source"], spec["target"]
     if source.get("incremental"):
-        if target.get("mode", "overwrite") != "append":
+        if target.get("mode", "overwrite").lower() != "append":
             raise ValueError("an incremental source needs target mode append")
         if not spec.get("ledger"):
             raise ValueError("an incremental source needs a ledger to keep its watermark")
@@ -233,7 +240,8 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
     {"step": name, ...parameters}; `dedup`; `quality_checks`; `ledger` and `event_log`
     paths; `rerun` "skip" to leave a run id alone that has already succeeded.
 
-    A failed quality check raises and leaves the target untouched.
+    A failed quality check raises and leaves the target untouched. `rows_written` stays
+    unknown in mode ignore.
     """
     _checked(spec)
     run = PipelineRun(spec["job_name"], run_id or uuid.uuid4().hex)
@@ -320,9 +328,11 @@ def _read(spark: SparkSession, spec: Mapping, run: PipelineRun, mark: str | None
         return df
     column = incremental["column"]
     df = ledger.incremental_filter(df, column, mark)
-    seen = df.agg(
-        F.count(F.lit(1)).alias("n"), F.max(pick(df, column)).cast("string").alias("newest")
-    ).first()
+    newest = F.max(pick(df, column))
+    if isinstance(df.select(pick(df, column)).schema[0].dataType, TimestampType):
+        # With its offset, so that a run in another time zone reads the same instant.
+        newest = F.date_format(newest, FULL_TIMES["timestampFormat"])
+    seen = df.agg(F.count(F.lit(1)).alias("n"), newest.cast("string").alias("newest")).first()
     run.rows_read, run.watermark = seen["n"], seen["newest"] or mark
     return df
 
@@ -346,14 +356,16 @@ def _check_drift(df: DataFrame, spec: Mapping, run: PipelineRun, record: _Record
 def _write(df: DataFrame, target: Mapping, parts: list, gathered: bool, run: PipelineRun) -> None:
     if parts and not gathered and target.get("rebalance", True):
         df = df.hint("rebalance", *[pick(df, c) for c in parts])
-    written = Observation()
+    mode = target.get("mode", "overwrite")
+    # Mode ignore may write nothing at all, and then there is nothing to observe.
+    written = None if mode.lower() == "ignore" else Observation()
     write_table(
-        df.observe(written, F.count(F.lit(1)).alias("n")),
+        df if written is None else df.observe(written, F.count(F.lit(1)).alias("n")),
         target["path"],
         target.get("format", "parquet"),
-        target.get("mode", "overwrite"),
+        mode,
         parts,
         target.get("options"),
         rebalance=False,
     )
-    run.rows_written = written.get["n"]
+    run.rows_written = written.get["n"] if written else None

@@ -5,6 +5,7 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 
 import millrace as m
 from conftest import rows
@@ -266,3 +267,40 @@ def test_odd_job_names_keep_their_ledger(spark, job):
     m.run_pipeline(spark, job, ".r/1")
     last = m.last_success(m.read_ledger(spark, job["ledger"]), job["job_name"]).first()
     assert last["run_id"] == ".r/1"
+
+
+def test_every_mode_can_be_configured(spark, job):
+    job["transforms"] = ["cleanse"]
+    del job["target"]["partition_by"], job["quality_checks"]
+    for mode, written, rows_there in (
+        ("ignore", None, 4),
+        ("ignore", None, 4),
+        ("append", 4, 8),
+        ("overwrite", 4, 4),
+    ):
+        job["target"]["mode"] = mode
+        assert m.run_pipeline(spark, job).rows_written == written
+        assert spark.read.parquet(job["target"]["path"]).count() == rows_there
+    job["target"]["mode"] = "error"
+    with pytest.raises(AnalysisException):
+        m.run_pipeline(spark, job)
+
+
+def test_a_watermark_means_the_same_in_every_time_zone(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    spec = {
+        "job_name": "zones",
+        "source": {"path": raw, "incremental": {"column": "t"}},
+        "target": {"path": str(tmp_path / "out"), "mode": "append"},
+        "ledger": str(tmp_path / "ledger"),
+    }
+    spark.sql("SELECT timestamp'2024-06-01 12:00:00.123456Z' AS t").write.parquet(raw)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        assert m.run_pipeline(spark, spec).rows_read == 1
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+        assert m.run_pipeline(spark, spec).rows_read == 0
+        spark.sql("SELECT timestamp'2024-06-01 12:00:00.123457Z' AS t").write.mode("append").parquet(raw)
+        assert m.run_pipeline(spark, spec).rows_read == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
