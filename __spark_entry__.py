@@ -753,9 +753,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return latest_event_gate(spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
+    """The queries of subpackage llm and of its pipeline; nothing where these are not there."""
+    try:
+        import corpus_pipeline
+        from millrace.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("millrace.llm", "corpus_pipeline"):
+            raise
+        return {}, {}
+    found, sql = dict(llm.QUERIES), dict(llm.ORACLE)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | _training_data()[1]
