@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, sharding
+from millrace.llm import language, mixing, packing, sharding, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,13 @@ def op5_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("position", "doc_id")
 
 
+@query()
+def op7_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op8_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.bounded_ring(table(spark, sf_dir, "documents"))
@@ -96,3 +103,15 @@ def op8_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query()
+def op9_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
