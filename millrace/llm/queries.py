@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, mixing, packing, sharding, toxicity
+from millrace.llm import language, mixing, packing, pii, sharding, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,17 @@ def op9_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op10_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    of = lambda kind: F.filter("base", lambda s: s["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
