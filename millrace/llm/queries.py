@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, mixing, packing, pii, sharding, toxicity
+from millrace.llm import chat, language, mixing, packing, pii, sharding, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,42 @@ def op5_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("position", "doc_id")
 
 
+@query(
+    """
+    WITH ranked AS (
+      SELECT conv_id, role, replace(coalesce(text, ''), '<|', '<||') AS body,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
+          coalesce(text, '')) - 1 AS rank
+      FROM conversations
+    ), people AS (
+      SELECT DISTINCT conv_id, role AS assistant FROM conversations WHERE role <> 'system'
+    ), said AS (
+      SELECT r.conv_id, p.assistant, r.rank // 64 AS part, r.rank,
+        coalesce(r.role = p.assistant, false) AS own,
+        CASE WHEN r.role = p.assistant THEN '<|assistant|>' || chr(10)
+          WHEN r.role = 'system' THEN '<|system|>' || chr(10)
+          ELSE '<|user:' || replace(coalesce(r.role, 'unknown'), '<|', '<||') || '|>' || chr(10) END AS head,
+        r.body || '<|end|>' || chr(10) AS tail
+      FROM ranked r JOIN people p ON r.conv_id IS NOT DISTINCT FROM p.conv_id
+    ), placed AS (
+      SELECT *, sum(length(head) + length(tail)) OVER (PARTITION BY conv_id, assistant, part
+          ORDER BY rank) AS until FROM said
+    )
+    SELECT conv_id, assistant, part, CAST(count(*) AS INTEGER) AS n_turns,
+      string_agg(head || tail, '' ORDER BY rank) AS text,
+      coalesce(string_agg(CASE WHEN own THEN concat(until - length(tail), ':', until) END, ','
+        ORDER BY rank), '') AS mask
+    FROM placed GROUP BY conv_id, assistant, part
+    """
+)
+def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = chat.perspectives(table(spark, sf_dir, "conversations"))
+    mask = F.transform(
+        "mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))
+    )
+    return rendered.withColumn("mask", F.array_join(mask, ","))
+
+
 @query()
 def op7_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
