@@ -7,12 +7,13 @@ operator's own results.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, language, minhash, mixing, packing, pii, sharding, toxicity
-from millrace.llm.common import table
+from millrace.llm import chat, language, minhash, mixing, multiindex, packing, pii, sharding, toxicity
+from millrace.llm.common import package_for_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,14 +21,24 @@ ORACLE: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(function):
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            package_for_workers(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = run
         if sql:
             ORACLE[function.__name__] = sql
-        return function
+        return run
 
     return register
 
 
+@query()
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op3_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=85)
