@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import checkpoint
 from millrace.llm.components import components
+from millrace.llm.vectors import finite, matrix, of_common_length
 
 COSINE = 0.95
 #: Vectors the codebooks and the traversal's length are fitted on at most, by smallest hash.
@@ -117,24 +118,6 @@ class MultiIndex:
         return [[i * width + j for i, j in traverse(a, b, self.reach)] for a, b in zip(*far)]
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding of vectors that have an id, a direction and finite components only."""
-    infinite = F.lit(float("inf"))
-    fine = F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != infinite)
-    ) & F.exists("embedding", lambda x: x != 0)
-    return vectors.select(F.col("vec_id").cast("long"), "embedding").where(
-        F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False))
-    )
-
-
-def matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """The lists, all of one length, as rows of doubles."""
-    flat = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return values.reshape(len(flat), -1) if len(flat) else np.empty((0, 0))
-
-
 def unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(1)[:, None]  # no overflow or underflow in squares
     return x / np.linalg.norm(x, axis=1)[:, None]
@@ -210,14 +193,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     vertex. Other columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
-    good = usable(vectors)
-    length = (
-        good.groupBy(F.size("embedding").alias("size"))
-        .count()
-        .orderBy(F.desc("count"), F.desc("size"))
-        .first()
-    )
-    good = good.where(F.size("embedding") == (length["size"] if length else 0)).distinct()
+    good = of_common_length(finite(vectors)).where(F.exists("embedding", lambda x: x != 0)).distinct()
     groups = checkpoint(
         good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("vec_id").alias("weight"))
     )

@@ -12,7 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, language, minhash, mixing, multiindex, packing, pii, sharding, toxicity
+from millrace.llm import chat, language, minhash, mixing, multiindex, packing, pii, sharding, topk, toxicity
 from millrace.llm.common import package_for_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,26 @@ def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query(
+    """
+    WITH v AS (
+      SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+      AS INTEGER) AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 5
+    """
+)
+def op2_no_random_access_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50)
+
+
 @query()
 def op3_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=85)
