@@ -1,0 +1,10 @@
+import pytest
+
+from millrace.llm.common import package_for_workers
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(autouse=True)
+def workers(spark):
+    package_for_workers(spark)

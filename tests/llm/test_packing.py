@@ -1,0 +1,83 @@
+"""Packing against the reference tokenizer and the rules of a sequence."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from millrace.llm.packing import CAPACITY, CLASSES, byte_bpe, cut, pack
+
+
+@given(st.integers(0, 10_000))
+def test_pieces_make_up_the_document_and_fit_their_class(tokens):
+    pieces = cut(tokens)
+    assert sum(length for length, _ in pieces) == tokens
+    for length, klass in pieces:
+        assert 1 <= klass <= CLASSES and 1 <= length <= CAPACITY // klass
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text())
+def test_ids_are_those_of_the_json_vocabulary(text):
+    tokenizers = pytest.importorskip("tokenizers")
+    import public_tokenizers
+
+    known = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    known.encode_special_tokens = True
+    wanted = known.encode(text, add_special_tokens=False).ids + [1]
+    assert byte_bpe()([text])[0].tolist() == wanted
+
+
+def numbers(texts):
+    """A stand-in vocabulary: one id per character, then 1."""
+    return [np.array([*map(ord, t), 1], "<u4") for t in texts]
+
+
+def packed(spark, rows, capacity=64, parts=3):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length string").repartition(parts)
+    return [r.asDict() for r in pack(docs, numbers, capacity, 16).collect()]
+
+
+def check(pieces, texts, capacity):
+    """`texts`: per doc_id the texts it has, each an id sequence that must appear once."""
+    sequences = defaultdict(list)
+    for p in pieces:
+        sequences[p["sequence_id"]].append(p)
+        assert p["length"] > 0
+    assert sorted(sequences) == list(range(len(sequences)))
+    for members in sequences.values():
+        at = 0
+        for p in sorted(members, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= capacity
+    ids = {key: [numbers([t or ""])[0] for t in own] for key, own in texts.items()}
+    total = sum(len(x) for own in ids.values() for x in own)
+    assert sum(p["length"] for p in pieces) == total
+    for p in pieces:
+        own = [x for x in ids[p["doc_id"]] if len(x) == p["doc_tokens"]]
+        cuts = [x[p["start"] : p["start"] + p["length"]] for x in own]
+        assert p["ids_crc32"] in [zlib.crc32(c.tobytes()) for c in cuts if len(c) == p["length"]]
+    return sequences
+
+
+def test_every_id_lies_in_one_piece_and_sequences_are_full(spark):
+    rows = [(i, "x" * (i * 7 % 150), "clash") for i in range(400)]
+    pieces = packed(spark, rows)
+    sequences = check(pieces, {i: [t] for i, t, _ in rows}, 64)
+    tokens = sum(p["length"] for p in pieces)
+    assert len(sequences) * 64 < 1.1 * tokens
+
+
+def test_nulls_empty_repeated_and_very_long_texts(spark):
+    rows = [(1, None, "a"), (2, "", None), (3, "abc", "b"), (3, "abc", "b"), (None, "lone", "c")]
+    rows.append((4, "word " * 100_000, "d"))
+    texts = {1: [None], 2: [""], 3: ["abc", "abc"], None: ["lone"], 4: ["word " * 100_000]}
+    check(packed(spark, rows), texts, 64)
+
+
+def test_an_empty_table_gives_no_rows(spark):
+    assert packed(spark, []) == []

@@ -1,0 +1,88 @@
+"""Every stage of the pipeline on its own input, and the whole of it."""
+
+import re
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as pipeline
+from millrace.llm import mixing
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def test_stages_are_in_order():
+    assert [n for n, _ in pipeline.STAGES] == ["toxicity", "minhash", "pii", "mixing", "packing"]
+
+
+def test_toxic_documents_go_and_others_stay(spark, docs):
+    left = {r.doc_id for r in pipeline.drop_toxic(spark, docs, SF_DIR).collect()}
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()
+    clean = [r.doc_id for r in labels if r.toxic == 0]
+    toxic = [r.doc_id for r in labels if r.toxic == 1]
+    assert sum(d in left for d in clean) > 0.98 * len(clean)
+    assert sum(d in left for d in toxic) < 0.1 * len(toxic)
+
+
+def test_one_of_each_group_stays(spark, docs):
+    out = pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert out.schema == docs.schema
+    left = out.collect()
+    texts = Counter(re.sub(r"\s+", " ", r.text.lower()) for r in left)
+    assert max(texts.values()) == 1 and len(left) > 0.8 * docs.count()
+
+
+def test_personal_data_is_replaced(spark, docs):
+    out = pipeline.redact(spark, docs, SF_DIR).collect()
+    before = {r.doc_id: r for r in docs.collect()}
+    assert len(out) == len(before)
+    assert not [r for r in out if re.search(r"[\w.]+@[\w-]+\.\w", r.text)]
+    for r in out:
+        old = before[r.doc_id]
+        if "[" in r.text and r.text != old.text:
+            assert r.n_chars == len(r.text)
+        else:
+            assert r == old
+
+
+def test_mixing_keeps_the_columns_and_targets(spark, docs):
+    out = pipeline.mix(spark, docs, SF_DIR)
+    assert out.schema == docs.schema
+    words = sum(len(r.text.split()) for r in out.collect())
+    total = sum(len(r.text.split()) for r in docs.collect())
+    assert words == pytest.approx(mixing.TOTAL * total, rel=0.05)
+
+
+def odd(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, spans string, row string, doc string"
+    return spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], schema)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in pipeline.STAGES])
+def test_odd_rows_and_clashing_columns(spark, name):
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "no id", "en", "s", 5), (3, "x y z", "en", None, 5)]
+    rows += [(3, "x y z", "en", None, 5), (4, "mail a@b.com " + "w " * 100_000, "en", "s", 1)]
+    stage = dict(pipeline.STAGES)[name]
+    for docs in (odd(spark, rows), odd(spark, rows).limit(0)):
+        out = stage(spark, docs, SF_DIR)
+        if name != "packing":
+            assert out.columns == docs.columns
+        kept = out.collect()
+        if name in ("toxicity", "pii"):
+            assert len(kept) == docs.count()
+
+
+def test_the_whole_pipeline(spark, docs):
+    pieces = pipeline.run(spark, SF_DIR).collect()
+    ids = {r.doc_id for r in pieces}
+    assert ids < {r.doc_id for r in docs.collect()}
+    lengths = Counter()
+    for p in pieces:
+        lengths[p.sequence_id] += p.length
+    assert max(lengths.values()) <= 2048
+    assert sum(lengths.values()) > 0.97 * 2048 * len(lengths)

@@ -1,0 +1,63 @@
+"""Exact top-k against brute force."""
+
+import numpy as np
+import pytest
+
+from millrace.llm import topk
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 6, 300])
+def test_the_best_are_never_left_out(n):
+    draw = np.random.default_rng(n)
+    rows = draw.integers(-20, 20, (n, 6)).astype(float)
+    queries = np.vstack([rows[: min(n, 40)], np.zeros((1, 6))])
+    own = np.arange(n)[:, None] == np.arange(len(queries))[None, :]
+    found = topk.no_random_access(rows, queries, own, 5)
+    for q, (those, scores) in enumerate(found):
+        exact = rows @ queries[q]
+        assert (exact[those] == scores).all()
+        allowed = np.flatnonzero(~own[:, q])
+        bar = np.sort(exact[allowed])[::-1][:5]
+        must = [i for i in allowed if len(bar) and exact[i] >= bar[-1]]
+        assert set(must) <= set(those) <= set(allowed)
+
+
+def brute(rows, every, k=5):
+    rows = {(i, tuple(v)) for i, v in rows}
+    best = {}
+    for i, v in rows:
+        if i % every:
+            continue
+        q = np.floor(256 * np.array(v, float))
+        for j, w in rows:
+            if i != j:
+                score = int(np.floor(256 * np.array(w, float)) @ q)
+                best[i, j] = max(score, best.get((i, j), score))
+    out = set()
+    for i in {i for i, _ in best}:
+        order = sorted(((-s, j) for (a, j), s in best.items() if a == i))[:k]
+        out |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(order)}
+    return out
+
+
+def search(spark, rows, every):
+    frame = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<double>, score string")
+    return {tuple(r) for r in topk.top_k(frame.repartition(3), every).collect()}
+
+
+def test_blocks_and_ties_do_not_matter(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 50)
+    monkeypatch.setattr(topk, "QUERIES", 7)
+    draw = np.random.default_rng(0)
+    rows = [(i, [float(x) / 16 for x in draw.integers(-3, 4, 5)]) for i in range(300)]
+    rows += [(300 + i, rows[0][1]) for i in range(30)] + [(0, rows[0][1])]
+    assert search(spark, rows, 10) == brute(rows, 10)
+
+
+def test_few_rows_odd_vectors_and_empty_tables(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(0, [1.0, -0.5]), (3, [0.0, 0.0]), (10, [0.25, 0.125])]
+    odd = [(20, None), (30, [nan, 1.0]), (40, [inf, 1.0]), (50, [None, 1.0]), (60, []), (70, [1.0]), (None, [1.0, 1.0])]
+    assert search(spark, good + odd, 10) == brute(good, 10)
+    assert search(spark, [], 10) == set()
+    assert search(spark, [(0, [1.0])], 10) == set()
