@@ -431,7 +431,7 @@ def append_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     m.write_table(orders, path, mode="error")
     m.write_table(orders, path, mode="append")
-    m.write_table(orders.limit(0), path, mode="ignore")
+    m.write_table(orders, path, mode="ignore")
     return m.read_table(spark, path)
 
 
@@ -474,7 +474,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS job_name, CAST(o_orderkey AS VARCHAR) AS ru
 FROM orders
 """
 RUNS = f"""WITH r AS (SELECT job_name, run_id, status, start_time, end_time, rows_read,
-  rows_written, CAST(NULL AS VARCHAR) AS watermark, substring(message, 1, 1000) AS error_message
+  rows_written, CAST(NULL AS VARCHAR) AS watermark, message AS error_message
   FROM ({LEDGER}))"""
 
 
@@ -745,6 +745,102 @@ def curated_view(spark, sf_dir):
     return m.read_table(spark, path)
 
 
+# --- reruns and contracts -------------------------------------------------------------------
+
+
+@query(
+    f"""SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year,
+    CAST(month(o_orderdate) AS INTEGER) AS month FROM ({first_row('orders', 'o_custkey',
+    'o_orderdate DESC, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority')})"""
+)
+def staging_reload(spark, sf_dir):
+    """Newest order per customer by month: loaded to the end of 1995, then loaded with all."""
+    orders = table(spark, sf_dir, "orders")
+    root = m.new_folder(spark, "reload")
+    job = {
+        "job_name": "newest_orders",
+        "source": {"path": f"{root}/raw"},
+        "target": {"path": f"{root}/newest", "partition_by": ["year", "month"]},
+        "transforms": ["deduplicate", {"step": "derive_partitions", "column": "o_orderdate"}],
+        "dedup": {"partition_by": ["o_custkey"], "order_by": "o_orderdate"},
+        "quality_checks": {"uniqueness_keys": ["o_custkey"], "reconcile": True},
+        "ledger": f"{root}/ledger",
+    }
+    for source in (orders.filter("o_orderdate < '1996-01-01'"), orders):
+        m.write_table(source, f"{root}/raw")
+        m.run_pipeline(spark, job)
+    return m.read_table(spark, job["target"]["path"])
+
+
+@query("SELECT * FROM events")
+def incremental_reload(spark, sf_dir):
+    """All events in three arrivals that share times, the second run twice under one run id."""
+    events = table(spark, sf_dir, "events")
+    root = m.new_folder(spark, "increments")
+    job = {
+        "job_name": "events",
+        "source": {"path": f"{root}/raw/events", "incremental": {"column": "ingest_date"}},
+        "target": {"path": f"{root}/events", "mode": "append"},
+        "transforms": [],
+        "ledger": f"{root}/ledger",
+    }
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for day, run_ids in enumerate((["first"], ["second", "second"], [None])):
+        m.land_raw(events.filter(third == day), f"{root}/raw", "events", f"2024-02-0{day + 1}")
+        for run_id in run_ids:
+            m.run_pipeline(spark, job, run_id)
+    return m.read_table(spark, f"{root}/events").drop("ingest_date", "run_id")
+
+
+DIRTY_CONTRACT = [
+    {"name": "c_custkey", "type": "long", "nullable": False},
+    {"name": "raw_name", "type": "string", "nullable": False},
+    {"name": "raw_num", "type": "int", "nullable": False},
+    {"name": "absent", "type": "string", "nullable": False},
+]
+
+
+@query(
+    f"""{WITH_DIRTY}, n AS (SELECT count(*) AS n, count(raw_name) AS names, count(raw_num) AS nums,
+      count(*) FILTER (WHERE raw_num IS NOT NULL AND TRY_CAST(raw_num AS INTEGER) IS NULL) AS lost
+      FROM d), v AS (
+      SELECT 'contract_cast' AS "check", 'c_custkey' AS subject, 0 AS observed FROM n
+      UNION ALL SELECT 'contract_cast', 'raw_name', 0 FROM n
+      UNION ALL SELECT 'contract_cast', 'raw_num', lost FROM n
+      UNION ALL SELECT 'contract_cast', 'absent', 0 FROM n
+      UNION ALL SELECT 'contract_null', 'c_custkey', 0 FROM n
+      UNION ALL SELECT 'contract_null', 'raw_name', n - names FROM n
+      UNION ALL SELECT 'contract_null', 'raw_num', n - nums FROM n
+      UNION ALL SELECT 'contract_null', 'absent', n FROM n)
+    SELECT "check", subject, CAST(observed AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
+      observed = 0 AS passed FROM v"""
+)
+def contract_gate(spark, sf_dir):
+    return m.contract_gate(dirty(spark, sf_dir), DIRTY_CONTRACT)
+
+
+@query(
+    """WITH o AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, count(*) AS n,
+      CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total,
+      count(*) FILTER (WHERE o_orderstatus <> 'P') AS kept,
+      CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (WHERE o_orderstatus <> 'P'), 0)
+        AS DOUBLE) AS kept_total
+      FROM orders GROUP BY 1)
+    SELECT 'reconcile' AS "check", 'rows, ' || y AS subject, CAST(kept AS DOUBLE) AS observed,
+      CAST(n AS DOUBLE) AS threshold, kept = n AS passed FROM o
+    UNION ALL SELECT 'reconcile', 'price, ' || y, kept_total, total, kept_total = total FROM o"""
+)
+def reconcile_gate(spark, sf_dir):
+    """Orders against the copy that lost its pending ones, per year, as gate lines."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("year"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        "o_orderstatus",
+    )
+    written = orders.filter("o_orderstatus <> 'P'")
+    return m.reconcile_lines(m.reconcile(orders, written, ["year"], ["price"]), ["year"])
+
+
 # --- driver contract ------------------------------------------------------------------------
 
 

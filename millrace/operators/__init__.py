@@ -25,11 +25,13 @@ from millrace.operators.quality import (
     profile,
     quality_gate,
     reconcile,
+    reconcile_lines,
     row_count_check,
     uniqueness,
 )
 from millrace.operators.schema import (
     cast_to_schema,
+    contract_gate,
     contract_violations,
     drift_report,
     load_fields,
@@ -41,6 +43,7 @@ __all__ = [
     "append_log_events",
     "append_run_events",
     "cast_to_schema",
+    "contract_gate",
     "contract_violations",
     "derive_partitions",
     "drift_report",
@@ -59,6 +62,7 @@ __all__ = [
     "read_event_log",
     "read_ledger",
     "reconcile",
+    "reconcile_lines",
     "remove_duplicates",
     "row_count_check",
     "run_metrics",

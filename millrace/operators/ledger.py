@@ -15,11 +15,16 @@ from pyspark.sql import types as T
 from millrace.functions.columns import pick
 from millrace.sources.tables import write_table
 
-# The states of a run and the longest error message kept.
+# The states of a run.
 RUNNING = "RUNNING"
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
-ERROR_LENGTH = 1000
+
+# The events of a job that queries over its log look for.
+JOB_STARTED = "job_started"
+SOURCE_READ = "source_read"
+JOB_COMPLETE = "job_complete"
+JOB_FAILED = "job_failed"
 
 # Times are UTC wall-clock times, so that no session time zone changes them.
 LEDGER_SCHEMA = T.StructType(
@@ -64,11 +69,11 @@ def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def append_run_events(events: DataFrame, path: str) -> None:
-    """Append start and end rows to a ledger; error messages are cut to the kept length."""
-    rows = _aligned(events, LEDGER_SCHEMA).withColumn(
-        "error_message", F.substring("error_message", 1, ERROR_LENGTH)
-    )
+def append_run_events(events: DataFrame, path: str, error_length: int | None = None) -> None:
+    """Append start and end rows to a ledger, error messages whole unless a length is given."""
+    rows = _aligned(events, LEDGER_SCHEMA)
+    if error_length is not None:
+        rows = rows.withColumn("error_message", F.substring("error_message", 1, error_length))
     write_table(rows, path, mode="append")
 
 
@@ -141,9 +146,15 @@ def run_metrics(ledger: DataFrame) -> DataFrame:
     )
 
 
-def incremental_filter(df: DataFrame, column: str, watermark) -> DataFrame:
+def incremental_filter(
+    df: DataFrame, column: str, watermark, inclusive: bool = False, nulls: bool = False
+) -> DataFrame:
     """Rows newer than a watermark; without one, all rows.
 
+    `inclusive` takes the rows of the watermark itself again, for sources in which more of them
+    may arrive later; write such rows so that they replace those read before. `nulls` keeps
+    rows without a value, which otherwise only a first run without a watermark sees.
+
     The watermark is cast to the type of the column, never the column to that of the
     watermark, so that the comparison reaches the scan.
     """
@@ -151,7 +162,9 @@ def incremental_filter(df: DataFrame, column: str, watermark) -> DataFrame:
         return df
     value = pick(df, column)
     wanted = df.select(value.alias("v")).schema["v"].dataType
-    return df.filter(value > F.lit(watermark).cast(wanted))
+    mark = F.lit(watermark).cast(wanted)
+    newer = value >= mark if inclusive else value > mark
+    return df.filter(newer | value.isNull() if nulls else newer)
 
 
 def append_log_events(events: DataFrame, path: str) -> None:

@@ -62,7 +62,7 @@ def enrich(
     if not unique:
         side = one_per_key(side, keys, ranked)
     # Key columns get names of their own, so that a lookup may share names with `df`.
-    names = {k: f"__key_{i}" for i, k in enumerate(keys)}
+    names = {k: unused_name(df, f"__key_{i}") for i, k in enumerate(keys)}
     side = side.select(
         *[quoted(k).alias(n) for k, n in names.items()], *[quoted(c) for c in added]
     )

@@ -18,9 +18,6 @@ from millrace.functions.columns import pick, quoted, sql_name, sql_text, sql_tex
 NULL_THRESHOLD = 0.05
 ROW_COUNT_MIN = 0
 
-# Up to this many columns a gate counts nulls per key rather than reading the table twice.
-WIDE_TABLE = 32
-
 
 def _null_counts(columns: Sequence[str]) -> str:
     return f"array({', '.join(f'count(1) - count({sql_name(c)})' for c in columns)})"
@@ -104,22 +101,25 @@ def row_count_check(df: DataFrame, row_count_min: int) -> DataFrame:
     )
 
 
-def _line(check: str, subject: str, observed: str, threshold: float, passed: str) -> str:
+def _line(check: str, subject: str, observed: str, threshold: float | str, passed: str) -> str:
+    """One line of a gate as SQL; a threshold that is a string is SQL itself."""
+    limit = threshold if isinstance(threshold, str) else f"'{float(threshold)}'"
     return f"""named_struct(
         'check', '{check}',
         'subject', {subject},
         'observed', CAST({observed} AS DOUBLE),
-        'threshold', CAST('{float(threshold)}' AS DOUBLE),
+        'threshold', CAST({limit} AS DOUBLE),
         'passed', {passed})"""
 
 
-def gate_lines(df: DataFrame, checks: Mapping, profiled: DataFrame | None = None) -> DataFrame:
+def gate_lines(
+    df: DataFrame, checks: Mapping, profiled: DataFrame | None = None, one_pass: bool = True
+) -> DataFrame:
     """See `quality_gate`. `profiled` is the `profile` row of `df` where it is already known."""
     threshold = float(checks.get("null_threshold", NULL_THRESHOLD))
     minimum = int(checks.get("row_count_min", ROW_COUNT_MIN))
     keys = list(checks.get("uniqueness_keys") or [])
-    # Counting nulls per key widens the shuffled rows, so a wide table is read twice instead.
-    keyed = bool(keys) and profiled is None and len(df.columns) <= WIDE_TABLE
+    keyed = bool(keys) and profiled is None and one_pass
     if keyed:
         profiled = _keyed_profile(df, keys)
     elif profiled is None:
@@ -148,14 +148,35 @@ def gate_lines(df: DataFrame, checks: Mapping, profiled: DataFrame | None = None
     return result
 
 
-def quality_gate(df: DataFrame, checks: Mapping) -> DataFrame:
+def quality_gate(df: DataFrame, checks: Mapping, one_pass: bool = True) -> DataFrame:
     """Every configured check as a row (check, subject, observed, threshold, passed).
 
     `checks` may hold `null_threshold`, `uniqueness_keys` and `row_count_min`. Null rates
     are always checked; a table without rows fails them with one row. All checks are run,
     whether or not one fails.
+
+    With uniqueness keys the table is read once, and a counter per column goes with each key
+    through the shuffle. `one_pass=False` reads it twice, the second time the keys only, which
+    suits stored tables of very many columns. The plan never depends on their number.
     """
-    return gate_lines(df, checks)
+    return gate_lines(df, checks, one_pass=one_pass)
+
+
+def reconcile_lines(reconciled: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+    """The rows of `reconcile` as gate lines: rows and every total, per group, must agree."""
+    group = ", ".join(f"coalesce(CAST({sql_name(g)} AS STRING), 'null')" for g in group_by)
+    measures = [c.removeprefix("diff_") for c in reconciled.columns if c.startswith("diff_")]
+    lines = [
+        _line(
+            "reconcile",
+            f"concat_ws(', ', {sql_text(m)}{', ' + group if group else ''})",
+            sql_name(f"target_{m}"),
+            sql_name(f"source_{m}"),
+            f"{sql_name(f'diff_{m}')} = 0",
+        )
+        for m in measures
+    ]
+    return reconciled.selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 def failures(lines: Iterable[Row]) -> list[str]:

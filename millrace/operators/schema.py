@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,6 +170,31 @@ def contract_violations(df: DataFrame, fields: Fields) -> DataFrame:
     )
 
 
+def contract_gate(df: DataFrame, fields: Fields) -> DataFrame:
+    """`contract_violations` as gate lines: per declared column, what it may not hold.
+
+    A line per column for values that do not fit the type, and one for nulls where none are
+    allowed; the threshold of both is 0.
+    """
+    line = """named_struct('check', '{0}', 'subject', column, 'observed', CAST({1} AS DOUBLE),
+        'threshold', CAST(0 AS DOUBLE), 'passed', {1} = 0)"""
+    casts = line.format("contract_cast", "cast_failures")
+    nulls = line.format("contract_null", "null_violations")
+    return contract_violations(df, fields).selectExpr(
+        f"inline(IF(nullable, array({casts}), array({casts}, {nulls})))"
+    )
+
+
+def misfit_counts(df: DataFrame, fields: Fields) -> list[tuple[str, Column]]:
+    """Per declared column that is there: its name and the aggregate counting what a cast loses."""
+    have = set(df.columns)
+    return [
+        (f.name, F.expr(_misfits(df, f.name, f.dataType)))
+        for f in schema_from_spec(fields)
+        if f.name in have
+    ]
+
+
 def load_fields(spark, path: str) -> list[dict]:
     """A declared schema kept as a JSON file on any file system Spark can read."""
     rows = (

@@ -69,13 +69,15 @@ def refresh_view(
     group_by: Sequence[str],
     measures: Mapping[str, Column],
     partition_by: Sequence[str] | None = None,
+    replace: str = "table",
 ) -> None:
-    """Recompute a kept view and replace what it covers.
+    """Recompute a kept view and replace it, so that groups gone from `df` go from it too.
 
-    With `partition_by`, taken from `group_by`, only the partitions present in `df` are
-    replaced. To refresh some of them, pass all source rows of just those.
+    To refresh some partitions of a view partitioned by columns of `group_by`, pass all source
+    rows of just those with `replace="partitions"`; the others stay.
     """
     stray = [c for c in partition_by or [] if c not in group_by]
     if stray:
         raise ValueError(f"a view is partitioned by grouping columns, {stray} are none")
-    write_table(aggregate_view(df, group_by, measures), path, partition_by=partition_by)
+    view = aggregate_view(df, group_by, measures)
+    write_table(view, path, partition_by=partition_by, replace=replace)

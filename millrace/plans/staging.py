@@ -73,15 +73,17 @@ def _deduplicate(df: DataFrame, spec: Mapping, **params) -> DataFrame:
     return dedup.remove_duplicates(df, rule.get("subset"))
 
 
-def _cast(df: DataFrame, spec: Mapping, fields=None) -> DataFrame:
+def _fields(df: DataFrame, spec: Mapping, fields=None) -> list:
+    """The declared fields, by the names that the columns of `df` have."""
     declared = fields if fields is not None else spec["schema"]
     listed = declared.get("fields", []) if isinstance(declared, Mapping) else declared
     have = set(df.columns)
     # Once names are normalized, a declared name stands for its normalized form.
-    renamed = [
-        f if f["name"] in have else {**f, "name": normalize_name(f["name"])} for f in listed
-    ]
-    return schema.cast_to_schema(df, renamed)
+    return [f if f["name"] in have else {**f, "name": normalize_name(f["name"])} for f in listed]
+
+
+def _cast(df: DataFrame, spec: Mapping, fields=None) -> DataFrame:
+    return schema.cast_to_schema(df, _fields(df, spec, fields))
 
 
 def _enrich(df: DataFrame, spec: Mapping, table: Mapping, **params) -> DataFrame:
@@ -127,9 +129,21 @@ def _steps(spec: Mapping) -> list[tuple[str, dict]]:
     return steps
 
 
-def transform(df: DataFrame, spec: Mapping) -> DataFrame:
-    """Apply the transforms of a job spec, lazily and in list order."""
+def transform(
+    df: DataFrame, spec: Mapping, casts: list[tuple[list[str], Observation]] | None = None
+) -> DataFrame:
+    """Apply the transforms of a job spec, lazily and in list order.
+
+    With a list `casts`, every cast step adds to it its columns and an observation of how many
+    values of each it loses, filled by the first job that runs the plan.
+    """
     for name, params in _steps(spec):
+        if name == "cast" and casts is not None:
+            counts = schema.misfit_counts(df, _fields(df, spec, **params))
+            if counts:
+                seen = Observation()
+                casts.append(([n for n, _ in counts], seen))
+                df = df.observe(seen, F.array(*[c for _, c in counts]).alias("lost"))
         df = TRANSFORMS[name](df, spec, **params)
     return df
 
@@ -146,13 +160,30 @@ def _checked(spec: Mapping) -> None:
         if name == "cast" and not (params.get("fields") or spec.get("schema")):
             raise ValueError("the cast step needs a declared schema")
     source, target = spec["source"], spec["target"]
+    if target.get("replace") not in (None, "table", "partitions"):
+        raise ValueError("target.replace must be 'table' or 'partitions'")
+    if spec.get("contract", "raise") not in ("raise", "warn"):
+        raise ValueError("contract must be 'raise' or 'warn'")
     if source.get("incremental"):
-        if target.get("mode", "overwrite").lower() != "append":
-            raise ValueError("an incremental source needs target mode append")
+        if target.get("mode", "overwrite").lower() != "append" and not _by_partition(spec):
+            raise ValueError(
+                "an incremental source needs target mode append, or a target partitioned by "
+                "its column whose partitions are replaced"
+            )
         if not spec.get("ledger"):
             raise ValueError("an incremental source needs a ledger to keep its watermark")
 
 
+def _by_partition(spec: Mapping) -> bool:
+    """Whether an incremental run replaces the partitions of the values it reads."""
+    source, target = spec["source"], spec["target"]
+    return (
+        target.get("mode", "overwrite").lower() == "overwrite"
+        and target.get("replace") == "partitions"
+        and source["incremental"]["column"] in (target.get("partition_by") or [])
+    )
+
+
 def _under(root: str, job_name: str, run_id: str | None = None) -> str:
     """The folder of a job, or of one of its runs, below a ledger or log."""
     names = [f"job-{job_name}"] + ([f"run-{run_id}"] if run_id is not None else [])
@@ -229,24 +260,49 @@ def _watermark(previous: DataFrame | None, job_name: str) -> str | None:
     return newest[0]["watermark"] if newest else None
 
 
+def _unfinished(previous: DataFrame | None) -> str | None:
+    """The run id of the newest run that began after the last success and did not succeed."""
+    if previous is None:
+        return None
+    runs = ledger.run_state(previous)
+    newest = runs.orderBy(F.desc("start_time"), F.desc("run_id")).first()  # of one job
+    return newest["run_id"] if newest and newest["status"] != ledger.SUCCESS else None
+
+
 def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None) -> PipelineRun:
     """Run a job described by a plain dict.
 
     Required: `job_name`, `source.path`, `target.path`. Optional: `source` format, schema,
-    options and `incremental` {column}; `target` format, mode, partition_by, options and
-    `rebalance` false where rows need not be gathered by partition value before the write;
-    `schema` (declared fields, or the path of a JSON file holding them) with `on_drift`
-    "warn" or "raise"; `transforms`, by default ["cleanse"], each a name or
-    {"step": name, ...parameters}; `dedup`; `quality_checks`; `ledger` and `event_log`
-    paths; `rerun` "skip" to leave a run id alone that has already succeeded.
-
-    A failed quality check raises and leaves the target untouched. `rows_written` stays
-    unknown in mode ignore.
+    options and `incremental` {column, inclusive}; `target` format, mode, partition_by,
+    options and `rebalance` false where rows need not be gathered by partition value before
+    the write; `schema` (declared fields, or the path of a JSON file holding them) with
+    `on_drift` "warn" or "raise" and `contract` "raise" or "warn"; `transforms`, by default
+    ["cleanse"], each a name or {"step": name, ...parameters}; `dedup`; `quality_checks`;
+    `ledger` and `event_log` paths; `rerun` "skip" to leave a run id alone that has already
+    succeeded.
+
+    Mode overwrite replaces the whole target, so that nothing stays that the source does not
+    hold any more; `target.replace` "partitions" replaces only the partitions written. Mode
+    append writes a partition `run_id` (another name by `target.run_column`) that a rerun of
+    the same run id replaces; `run_column` None appends plainly, and a rerun doubles.
+
+    An incremental run reads what is newer than the last success and, where it replaces
+    partitions by the incremental column, the last value again. Without a run id it takes up
+    a run that did not succeed. Rows without a value in that column fail the job.
+
+    Where a schema is declared and a cast step is listed, values that do not fit and nulls that
+    are not allowed are counted in the pass that stages the rows and become gate lines.
+    A failed quality check raises and leaves the target untouched, but for `reconcile` in the
+    checks (true, or {group_by, sums}), which compares the rows with the written target.
+    `rows_written` stays unknown in mode ignore.
     """
     _checked(spec)
+    incremental = spec["source"].get("incremental")
+    if incremental and run_id is None:
+        run_id = _unfinished(_previous(spark, spec))
     run = PipelineRun(spec["job_name"], run_id or uuid.uuid4().hex)
     record = _Recorder(spark, spec, run)
-    staged: StagedTable | None = None
+    stages: list[StagedTable] = []
     try:
         previous = _previous(spark, spec)
         if spec.get("rerun") == "skip" and previous is not None:
@@ -256,18 +312,20 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
                 run.rows_read, run.rows_written = done[0]["rows_read"], done[0]["rows_written"]
                 record.event("run_skipped")
                 return run
-        incremental = spec["source"].get("incremental")
         start_mark = _watermark(previous, run.job_name) if incremental else None
         record.state(ledger.RUNNING)
-        record.event("job_started")
+        record.event(ledger.JOB_STARTED)
 
-        df = _read(spark, spec, run, start_mark)
-        record.event("source_read", rows_out=run.rows_read)
+        df = _read(spark, spec, run, start_mark, stages)
+        record.event(ledger.SOURCE_READ, rows_out=run.rows_read)
         if spec.get("schema"):
             spec = {**spec, "schema": _declared(spark, spec["schema"])}
             _check_drift(df, spec, run, record)
 
-        df = transform(df, spec)
+        steps = [name for name, _ in _steps(spec)]
+        bound = bool(spec.get("schema")) and "cast" in steps
+        casts: list[tuple[list[str], Observation]] = []
+        df = transform(df, spec, casts if bound else None)
         target = spec["target"]
         parts = list(target.get("partition_by") or [])
         absent = [c for c in parts if c not in df.columns]
@@ -277,43 +335,118 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
 
         checks = spec.get("quality_checks")
         gathered = False
+        known = None
+        if bound or (checks is not None and any(name in SHUFFLING for name in steps)):
+            gather_by = parts if target.get("rebalance", True) else []
+            staged = StagedTable(df, quality.profile_metrics(df.columns), gather_by)
+            stages.append(staged)
+            df, gathered = staged.df, True
+            nulls = ", ".join(f"{n}L" for n in staged.metrics["null_counts"])
+            known = spark.range(1).selectExpr(
+                f"{staged.metrics['row_count']}L AS row_count", f"array({nulls}) AS null_counts"
+            )
+        failed: list[str] = []
         if checks is not None:
-            known = None
-            if any(name in SHUFFLING for name, _ in _steps(spec)):
-                gather_by = parts if target.get("rebalance", True) else []
-                staged = StagedTable(df, quality.profile_metrics(df.columns), gather_by)
-                df, gathered = staged.df, True
-                nulls = ", ".join(f"{n}L" for n in staged.metrics["null_counts"])
-                known = spark.range(1).selectExpr(
-                    f"{staged.metrics['row_count']}L AS row_count", f"array({nulls}) AS null_counts"
-                )
-            run.quality = quality.gate_lines(df, checks, known).collect()
+            gate = quality.gate_lines(df, checks, known, checks.get("one_pass", True))
+            run.quality = gate.collect()
             failed = quality.failures(run.quality)
+        if bound:
+            lines = _contract_lines(df, spec, casts, staged.metrics)
+            run.quality = [*run.quality, *lines]
+            broken = quality.failures(lines)
+            if broken and spec.get("contract", "raise") == "warn":
+                record.event("contract_broken", "WARNING", detail="; ".join(broken))
+            else:
+                failed += broken
+        if checks is not None or bound:
             record.event("quality_checked", "ERROR" if failed else "INFO", detail="; ".join(failed))
-            if failed:
-                raise QualityError("quality checks failed: " + "; ".join(failed))
+        if failed:
+            raise QualityError("quality checks failed: " + "; ".join(failed))
 
         _write(df, target, parts, gathered, run)
         record.event("target_written", rows_in=run.rows_read, rows_out=run.rows_written)
+        if checks is not None and checks.get("reconcile"):
+            lines = _reconciled(spark, df, target, parts, checks["reconcile"], run).collect()
+            run.quality = [*run.quality, *lines]
+            failed = quality.failures(lines)
+            record.event("target_reconciled", "ERROR" if failed else "INFO", detail="; ".join(failed))
+            if failed:
+                raise QualityError("the target differs from what was to be written: " + "; ".join(failed))
         record.state(ledger.SUCCESS)
-        record.event("job_complete", rows_in=run.rows_read, rows_out=run.rows_written)
+        record.event(ledger.JOB_COMPLETE, rows_in=run.rows_read, rows_out=run.rows_written)
         return run
     except Exception as error:
-        record.event("job_failed", "ERROR", rows_in=run.rows_read, detail=str(error))
-        record.state(ledger.FAILED, str(error))
+        record.event(ledger.JOB_FAILED, "ERROR", rows_in=run.rows_read, detail=str(error))
+        try:
+            record.state(ledger.FAILED, str(error))
+        except Exception:
+            log.exception("run %s of %s could not record its failure", run.run_id, run.job_name)
         raise
     finally:
         # Neither a leftover folder nor a lost log line changes how the run ended.
-        for tidy in (staged.drop if staged else None, record.flush):
+        for tidy in (*[s.drop for s in stages], record.flush):
             try:
-                if tidy is not None:
-                    tidy()
+                tidy()
             except Exception:
                 log.exception("run %s of %s left something behind", run.run_id, run.job_name)
 
 
-def _read(spark: SparkSession, spec: Mapping, run: PipelineRun, mark: str | None) -> DataFrame:
-    """The source rows, counted in a pass that reads no column or the watermark column only."""
+def _contract_lines(
+    df: DataFrame, spec: Mapping, casts: list[tuple[list[str], Observation]], metrics: Mapping
+) -> list[Row]:
+    """Gate lines of the declared schema, from what was counted while the rows were staged."""
+    lost: dict[str, int] = {}
+    for names, seen in casts:
+        for name, n in zip(names, seen.get["lost"]):
+            lost[name] = lost.get(name, 0) + n
+    nulls = dict(zip(df.columns, metrics["null_counts"]))
+    found = [("contract_cast", name, n) for name, n in lost.items()]
+    for field_ in schema.schema_from_spec(_fields(df, spec)):
+        if not field_.nullable:
+            found.append(("contract_null", field_.name, nulls.get(field_.name, metrics["row_count"])))
+    return [
+        Row(check=check, subject=name, observed=float(n), threshold=0.0, passed=n == 0)
+        for check, name, n in found
+    ]
+
+
+def _run_column(df: DataFrame, target: Mapping) -> str | None:
+    """The partition column that holds the run id of appended rows."""
+    if target.get("mode", "overwrite").lower() != "append":
+        return None
+    column = target.get("run_column", "run_id")
+    if column in df.columns:
+        raise ValueError(f"column {column!r} exists already; name another target.run_column")
+    return column
+
+
+def _reconciled(
+    spark: SparkSession, df: DataFrame, target: Mapping, parts: list, rule, run: PipelineRun
+) -> DataFrame:
+    """Gate lines comparing the rows to be written with what the target now holds of them."""
+    rule = {} if rule is True else dict(rule)
+    sums, groups = list(rule.get("sums", [])), list(rule.get("group_by", []))
+    written = read_table(
+        spark, target["path"], target.get("format", "parquet"), options=target.get("options")
+    )
+    column = _run_column(df, target)
+    if column:
+        written = written.filter(F.col(column).cast("string") == run.run_id)
+    if target.get("replace") == "partitions":
+        groups = list(dict.fromkeys([*groups, *parts]))
+    both = quality.reconcile(df, written, groups, sums)
+    if target.get("replace") == "partitions":
+        both = both.filter("source_rows > 0")  # the other partitions are none of this run's
+    return quality.reconcile_lines(both, groups)
+
+
+def _read(
+    spark: SparkSession, spec: Mapping, run: PipelineRun, mark: str | None, stages: list
+) -> DataFrame:
+    """The source rows, counted in a pass that reads no column or the watermark column only.
+
+    JSON and CSV are parsed once: their rows are staged as Parquet and counted on the way.
+    """
     source = spec["source"]
     df = read_table(
         spark,
@@ -323,11 +456,22 @@ def _read(spark: SparkSession, spec: Mapping, run: PipelineRun, mark: str | None
         source.get("options"),
     )
     incremental = source.get("incremental")
+    if source.get("format", "parquet") in ("json", "csv"):
+        staged = StagedTable(df, [F.count(F.lit(1)).alias("n")])
+        stages.append(staged)
+        df = staged.df
+        if not incremental:
+            run.rows_read = staged.metrics["n"]
+            return df
     if not incremental:
         run.rows_read = df.count()
         return df
     column = incremental["column"]
-    df = ledger.incremental_filter(df, column, mark)
+    unmarked = df.filter(pick(df, column).isNull()).count()
+    if unmarked:
+        raise ValueError(f"{unmarked} rows have no {column!r}, by which the source is read")
+    inclusive = incremental.get("inclusive", _by_partition(spec))
+    df = ledger.incremental_filter(df, column, mark, inclusive)
     newest = F.max(pick(df, column))
     if isinstance(df.select(pick(df, column)).schema[0].dataType, TimestampType):
         # With its offset, so that a run in another time zone reads the same instant.
@@ -356,7 +500,12 @@ def _check_drift(df: DataFrame, spec: Mapping, run: PipelineRun, record: _Record
 def _write(df: DataFrame, target: Mapping, parts: list, gathered: bool, run: PipelineRun) -> None:
     if parts and not gathered and target.get("rebalance", True):
         df = df.hint("rebalance", *[pick(df, c) for c in parts])
-    mode = target.get("mode", "overwrite")
+    mode, replace = target.get("mode", "overwrite"), target.get("replace", "table")
+    column = _run_column(df, target)
+    if column:
+        # A rerun of this run id replaces the partition that it wrote before.
+        df, parts = df.withColumn(column, F.lit(run.run_id)), [column, *parts]
+        mode, replace = "overwrite", "partitions"
     # Mode ignore may write nothing at all, and then there is nothing to observe.
     written = None if mode.lower() == "ignore" else Observation()
     write_table(
@@ -367,5 +516,6 @@ def _write(df: DataFrame, target: Mapping, parts: list, gathered: bool, run: Pip
         parts,
         target.get("options"),
         rebalance=False,
+        replace=replace,
     )
     run.rows_written = written.get["n"] if written else None

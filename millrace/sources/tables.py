@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
@@ -54,17 +54,21 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     options: Mapping | None = None,
     rebalance: bool = True,
+    replace: str = "partitions",
 ) -> None:
     """Write a dataset, optionally into partition folders.
 
     Overwriting a partitioned dataset replaces only the partitions that `df` has rows for,
-    so a rerun of one month leaves the others alone.
+    so a rerun of one month leaves the others alone. With `replace="table"` the whole table is
+    replaced, also partitions that `df` has no rows for; `df` must not read it then.
 
     Rows are first gathered by partition value, or every task would write a small file into
     every folder. The rebalance hint lets adaptive execution split a partition value that
     holds a large share of the rows over many tasks and merge small ones. Pass
     `rebalance=False` where rows are already gathered or all belong to one value.
     """
+    if replace not in ("partitions", "table"):
+        raise ValueError(f"replace must be 'partitions' or 'table', not {replace!r}")
     writer_mode = mode.lower()
     parts = list(partition_by or [])
     if parts and rebalance:
@@ -73,19 +77,30 @@ def write_table(
     if parts:
         writer = writer.partitionBy(*parts)
         if writer_mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+            kind = "dynamic" if replace == "partitions" else "static"
+            writer = writer.option("partitionOverwriteMode", kind)
     if fmt in ("json", "csv"):
         writer = writer.options(**FULL_TIMES)
     writer.options(**(options or {})).save(path)
 
 
 def land_raw(
-    df: DataFrame, root: str, source: str, ingest_date: date | str, fmt: str = "parquet"
+    df: DataFrame,
+    root: str,
+    source: str,
+    ingest_date: date | str,
+    fmt: str = "parquet",
+    append: bool = False,
 ) -> str:
-    """Append a source unchanged to the raw layer, in a folder per source and day."""
+    """Write a source unchanged to the raw layer, in a folder per source and day.
+
+    Landing a day again replaces that day, so it can be repeated; `append` adds to it instead.
+    A source without rows leaves the day as it is.
+    """
     path = f"{root.rstrip('/')}/{source}"
     dated = df.withColumn("ingest_date", F.lit(str(ingest_date)).cast("date"))
-    write_table(dated, path, fmt, "append", ["ingest_date"], rebalance=False)
+    mode = "append" if append else "overwrite"
+    write_table(dated, path, fmt, mode, ["ingest_date"], rebalance=False)
     return path
 
 
@@ -107,16 +122,22 @@ def driver_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructT
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach: that of spark.checkpoint.dir, else the warehouse.
 
-    Only a local session may do without one and gets a temporary folder.
+    No setting of the session is changed. A folder named without a file system is given the
+    cluster's own, and one of the local file system serves a local session only.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir", None
+    )
+    if spark.conf.get("spark.master", "").startswith("local"):
+        return (folder or "spark-warehouse").rstrip("/")
+    if folder and not re.match("[A-Za-z][A-Za-z0-9+.-]*:", folder):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        folder = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    if not folder or folder.startswith("file:"):
+        raise ValueError("spark.checkpoint.dir is not set to a folder all executors share")
     return folder.rstrip("/")
 
 

@@ -163,7 +163,7 @@ def test_view_refresh_replaces_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [("a", 3, 2, 2023), ("a", 5, 1, 2024)]
     late = lines.filter("year = 2024").union(spark.createDataFrame([(2024, "b", 9)], lines.schema))
     for _ in range(2):
-        m.refresh_view(late, path, ["g", "year"], total, ["year"])
+        m.refresh_view(late, path, ["g", "year"], total, ["year"], replace="partitions")
     assert rows(spark.read.parquet(path)) == [("a", 3, 2, 2023), ("a", 5, 1, 2024), ("b", 9, 1, 2024)]
     with pytest.raises(ValueError):
         m.refresh_view(lines, path, ["g"], total, ["year"])

@@ -42,9 +42,13 @@ def test_state_keeps_the_start_time(ledger):
     assert (running["status"], running["start_time"], running["end_time"]) == ("RUNNING", at(1), None)
 
 
-def test_long_errors_are_cut(ledger):
+def test_errors_are_kept_whole_unless_a_length_is_given(spark, ledger, tmp_path):
     failed = m.run_state(ledger).filter("status = 'FAILED'").first()
-    assert failed["error_message"] == "x" * 1000
+    assert set(failed["error_message"]) == {"x"} and len(failed["error_message"]) > 1000
+    path = str(tmp_path / "short")
+    m.append_run_events(ledger, path, error_length=7)
+    short = m.run_state(m.read_ledger(spark, path)).filter("status = 'FAILED'").first()
+    assert short["error_message"] == "x" * 7
 
 
 def test_last_success_goes_by_time_not_by_run_id(ledger):

@@ -194,6 +194,34 @@ def test_a_cluster_must_name_its_shared_folder():
         m.shared_folder(Session(**{"spark.master": "yarn"}))
     named = Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///marks/"})
     assert m.shared_folder(named) == "hdfs:///marks"
-    local = Session(**{"spark.master": "local[2]"})
-    assert os.path.isdir(m.shared_folder(local))
-    assert m.shared_folder(local) == local.settings["spark.checkpoint.dir"]
+    for folder in ("file:/tmp/x", "file:///tmp/x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            m.shared_folder(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": folder}))
+
+
+def test_a_local_session_falls_back_to_the_warehouse_and_keeps_its_settings():
+    settings = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/data/warehouse"}
+    local = Session(**settings)
+    assert m.shared_folder(local) == "file:/data/warehouse"
+    assert local.settings == settings
+
+
+def test_landing_a_day_again_replaces_it(spark, small, tmp_path):
+    root = str(tmp_path / "raw")
+    for day in ("2024-01-15", "2024-01-16", "2024-01-15"):
+        path = m.land_raw(small, root, "people", day)
+    assert spark.read.parquet(path).count() == 2 * small.count()
+    m.land_raw(small, root, "people", "2024-01-15", append=True)
+    assert spark.read.parquet(path).count() == 3 * small.count()
+
+
+def test_overwriting_partitions_or_the_whole_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    both = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    m.write_table(both, path, partition_by=["p"])
+    m.write_table(both.filter("p = 'a'"), path, partition_by=["p"])
+    assert spark.read.parquet(path).count() == 2
+    m.write_table(both.filter("p = 'a'"), path, partition_by=["p"], replace="table")
+    assert rows(spark.read.parquet(path)) == [(1, "a")]
+    with pytest.raises(ValueError, match="replace"):
+        m.write_table(both, path, replace="rows")
