@@ -167,3 +167,22 @@ def test_view_refresh_replaces_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [("a", 3, 2, 2023), ("a", 5, 1, 2024), ("b", 9, 1, 2024)]
     with pytest.raises(ValueError):
         m.refresh_view(lines, path, ["g"], total, ["year"])
+
+
+def test_the_star_shuffles_orders_for_its_two_joins_only(spark):
+    import __spark_entry__ as workload
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(workload.star_fact(spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # One exchange for the customers, one for the lines; only the three small dimensions,
+    # whose keys were not proved, are also gathered to be made unique.
+    assert text.count("Exchange hashpartitioning(o_custkey") == 1
+    exchanges = [line for line in text.splitlines() if "Exchange" in line]
+    assert sum("__spread" in line for line in exchanges) == 3
+    orders = next(i for i, line in enumerate(text.splitlines()) if "FileScan" in line and "o_orderkey" in line)
+    above = [line for line in text.splitlines()[:orders] if "Exchange" in line]
+    assert [line.split("(")[1].split("#")[0] for line in above] == ["l_orderkey", "__key_0", "o_custkey"]
