@@ -44,6 +44,12 @@ LOOSE = {
     r"(?:[\x20./-][0-9]{2,5}){2,4}(?![0-9A-Za-z])",
 }
 
+#: What any valid match of any pattern contains; texts without it are not searched further.
+SIGN = (
+    r"[@(\[{:0-9](?:(?<=@)|(?<=[(\[{]) ?[aA][tT] ?[)\]}]|(?<=:)[0-9A-Fa-f]{1,4}:"
+    r"|(?<=[0-9])[0-9\x20.()/-]{5,}[0-9])"
+)
+
 # Gazetteers and cue words.
 DOMAINS = "com org net edu gov info io eu uk de fr es it at ch be nl pl us ca au jp cn in br mx"
 COUNTRY_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 61 81 82 86 90 91"
@@ -66,14 +72,18 @@ def _one_of(words: str) -> str:
     return "|".join(words.split())
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """Array of (start, end, value) of all matches, leftmost first; code points, end exclusive.
 
     Parts between matches and matches alternate, so lengths add up to places. They are added
     in chunks of 256, so that a text with very many matches does not cost their square.
     """
-    lit = F.lit(pattern)
-    found, parts = F.regexp_extract_all(text, lit, F.lit(0)), F.split(text, pattern, -1)
+    found, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.filter(
         F.zip_with(
             parts,
@@ -85,26 +95,29 @@ def _spans(text: Column, pattern: str) -> Column:
         lambda x: x["value"].isNotNull(),
     )
     total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x["both"])
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(found) - 1) / 256).cast("int")),
-        lambda c: F.slice(pairs, c * 256 + 1, F.lit(256)),
-    )
-    based = lambda chunked: F.transform(
-        chunked,
-        lambda chunk, i: F.struct(
-            F.aggregate(F.slice(chunked, F.lit(1), i), F.lit(0), lambda s, x: s + total(x)).alias("base"),
-            chunk.alias("chunk"),
-        ),
-    )
-    placed = lambda b: F.transform(
-        b["chunk"],
-        lambda x, j: F.struct(
-            (b["base"] + total(F.slice(b["chunk"], F.lit(1), j)) + x["gap"]).alias("start"),
-            x["value"].alias("value"),
-        ),
+    chunked = lambda all_: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / 256).cast("int")),
+        lambda c: F.slice(all_, c * 256 + 1, F.lit(256)),
     )
+
+    def placed(chunks: Column) -> Column:
+        def inside(chunk: Column, i: Column) -> Column:
+            earlier = F.aggregate(F.slice(chunks, F.lit(1), i), F.lit(0), lambda s, x: s + total(x))
+            return _let(
+                earlier,
+                lambda base: F.transform(
+                    chunk,
+                    lambda x, j: F.struct(
+                        (base + total(F.slice(chunk, F.lit(1), j)) + x["gap"]).alias("start"),
+                        x["value"].alias("value"),
+                    ),
+                ),
+            )
+
+        return F.flatten(F.transform(chunks, inside))
+
     spans = F.transform(
-        F.flatten(F.transform(based(chunks), placed)),
+        _let(_let(pairs, chunked), placed),
         lambda x: F.struct(
             x["start"].alias("start"),
             (x["start"] + F.length(x["value"])).alias("end"),
@@ -112,7 +125,7 @@ def _spans(text: Column, pattern: str) -> Column:
         ),
     )
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+    return F.when(F.col("_any") & text.rlike(pattern), spans).otherwise(empty)
 
 
 def _digits(value: Column) -> Column:
@@ -185,25 +198,23 @@ def _key(kind: str, span: Column, text: Column, strict: bool) -> Column:
     return F.concat_ws(" ", F.lit(kind), *votes, size.cast("string"))
 
 
-def _with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add base_<kind> and more_<kind>: arrays of (start, end, value, key), more without overlap."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    docs = docs.withColumns({f"base_{k}": _spans(body, STRICT[k]) for k in KINDS})
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Add base_<kind> and more_<kind> to `docs` (row, text): arrays of (start, end, key).
+
+    The looser spans are those that overlap no base span of any kind.
+    """
+    body = F.coalesce(F.col("text"), F.lit(""))
     valid = lambda kind: lambda s: _valid(kind, s["value"])
-    docs = docs.withColumns({f"base_{k}": F.filter(f"base_{k}", valid(k)) for k in KINDS})
+    docs = docs.withColumn("_any", body.rlike(SIGN))
+    docs = docs.withColumns({f"base_{k}": F.filter(_spans(body, STRICT[k]), valid(k)) for k in KINDS})
     docs = docs.withColumn("_base", F.concat(*[f"base_{k}" for k in KINDS]))
     apart = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     docs = docs.withColumns({f"more_{k}": F.filter(_spans(body, LOOSE[k]), apart) for k in KINDS})
-    return docs.drop("_base")
-
-
-def _keyed(docs: DataFrame, text: str = "text") -> DataFrame:
-    body = F.coalesce(F.col(text), F.lit(""))
     add = lambda kind, strict: lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), _key(kind, s, body, strict).alias("key")
     )
     return docs.withColumns(
-        {f"{which}_{k}": F.transform(f"{which}_{k}", add(k, which == "base")) for which in ("base", "more") for k in KINDS}
+        {f"{w}_{k}": F.transform(f"{w}_{k}", add(k, w == "base")) for w in ("base", "more") for k in KINDS}
     )
 
 
@@ -261,7 +272,7 @@ def train(docs: DataFrame) -> dict[str, float]:
     """Score of every feature key that occurs in the texts of `docs`, a bounded table."""
     spans = F.concat(*[f"{w}_{k}" for w in ("base", "more") for k in KINDS])
     found = (
-        _keyed(_with_spans(docs.select("text")))
+        _keyed(docs.select("text"))
         .select(F.explode(F.transform(spans, lambda s: s["key"])).alias("key"))
         .groupBy("key")
         .count()
@@ -284,10 +295,12 @@ def find(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
     """Add base and spans to `docs`: arrays of (kind, start, end), by kind as listed, then start.
 
     `base` holds the strict spans, `spans` also what the classifier adds. A null text holds
-    none. Nothing is shuffled; repeated rows and null ids are rows like others.
+    none. Nothing is shuffled; repeated rows and null ids are rows like others. Columns of
+    these two names in `docs` give way.
     """
     good = [k for k, s in sorted(scores.items()) if s >= 0.5]
-    keyed = _keyed(_with_spans(docs.withColumn("_text", F.col("text")), "_text"), "_text")
+    kept = [c for c in docs.columns if c.lower() not in ("base", "spans")]
+    keyed = _keyed(docs.select(F.struct(*[docs[c] for c in kept]).alias("row"), "text"))
     accepted = F.array(*[F.lit(k) for k in good]).cast("array<string>")
     named = lambda k: lambda s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     base = {k: F.transform(f"base_{k}", named(k)) for k in KINDS}
@@ -295,9 +308,7 @@ def find(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
         k: F.transform(F.filter(f"more_{k}", lambda s: F.array_contains(accepted, s["key"])), named(k)) for k in KINDS
     }
     both = [F.array_sort(F.concat(base[k], more[k])) for k in KINDS]
-    return keyed.withColumns({"base": F.concat(*base.values()), "spans": F.concat(*both)}).drop(
-        "_text", *[f"{w}_{k}" for w in ("base", "more") for k in KINDS]
-    )
+    return keyed.select("row.*", F.concat(*base.values()).alias("base"), F.concat(*both).alias("spans"))
 
 
 def joined(spans: str) -> Column:
