@@ -1,8 +1,8 @@
 """Connected components of a graph given by links, by repeated local contraction.
 
 In each round every vertex moves to the least of itself and its neighbours, links follow their
-ends, and links within one vertex vanish. Rounds take the least by number and by a hash that
-changes with the round in turns: the first collapses stars at once, the second shortens long
+ends, and links within one vertex vanish. The first round takes the least by number, which
+collapses stars at once; the others by a hash that changes with the round, which shortens long
 chains by a constant factor whatever their numbering. Only vertex numbers and links are
 shuffled; minima are merged on the map side, and a vertex with very many links is a hot join
 key that adaptive execution splits.
@@ -29,23 +29,16 @@ def components(links: DataFrame) -> DataFrame:
     moves: list[DataFrame] = []
     round_ = 0
     while not edges.isEmpty():
-        rank = (
-            F.col("v") if round_ % 2 == 0 else F.xxhash64("v", F.lit(round_))
-        )
         ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        least = (
-            ends.groupBy("u").agg(F.min(F.struct(rank.alias("r"), "v")).alias("best"))
-            if round_ % 2
-            else ends.groupBy("u").agg(F.min("v").alias("best"))
-        )
-        if round_ % 2:
-            own = F.struct(F.xxhash64("u", F.lit(round_)).alias("r"), F.col("u").alias("v"))
-            to = F.least("best", own)["v"]
+        if round_ == 0:
+            to = F.least(F.min("v"), "u")
         else:
-            to = F.least("best", "u")
-        step = checkpoint(least.select(F.col("u").alias("id"), to.alias("to")))
+            ranked = lambda v: F.struct(F.xxhash64(v, F.lit(round_)).alias("r"), F.col(v).alias("v"))
+            to = F.least(F.min(ranked("v")), ranked("u"))["v"]
+        least = ends.groupBy("u").agg(to.alias("to"))
+        step = checkpoint(least.withColumnRenamed("u", "id"))
         moves.append(step)
         edges = checkpoint(
             edges.join(step.select(F.col("id").alias("a"), F.col("to").alias("ta")), "a")
