@@ -38,10 +38,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with its personal data replaced by the kind; n_chars is counted anew."""
     found = pii.find(docs.select(whole(docs), "text"), pii.train(docs))
-    text = pii.redacted(F.col("text"), F.col("spans"))
-    fresh = {"text": text}
+    found = found.withColumn("clean", pii.redacted(F.col("text"), F.col("spans")))
+    fresh = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        counted = F.length(text).cast(docs.schema["n_chars"].dataType)
+        counted = F.length("clean").cast(docs.schema["n_chars"].dataType)
         fresh["n_chars"] = F.when(F.size("spans") > 0, counted).otherwise(F.col("doc.n_chars"))
     return found.select(*[fresh.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
