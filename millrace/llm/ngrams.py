@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -42,19 +43,32 @@ def buckets(text: str, orders: Sequence[int], bits: int) -> Iterator[np.ndarray]
         yield np.concatenate(found) if found else np.empty(0, np.uint32)
 
 
-class Presence:
-    """The distinct buckets of one text after another."""
+class Tiers:
+    """The distinct (bucket, tier) pairs of one text after another, numbered tier by tier.
 
-    def __init__(self, orders: Sequence[int], bits: int):
-        self.orders, self.bits = orders, bits
-        self.flags = np.zeros(1 << bits, bool)
+    A bucket reaches tier j where the text holds it `tiers[j]` times or oftener, so a word said
+    three times can weigh otherwise than one said once.
+    """
+
+    def __init__(self, orders: Sequence[int], bits: int, tiers: Sequence[int]):
+        self.orders, self.bits, self.tiers = orders, bits, tiers
+        self.size = len(tiers) << bits
 
     def of(self, text: str) -> np.ndarray:
-        for found in buckets(text, self.orders, self.bits):
-            self.flags[found] = True
-        present = np.flatnonzero(self.flags)
-        self.flags[present] = False
-        return present
+        slices = buckets(text, self.orders, self.bits)
+        found, more = next(slices), next(slices, None)
+        if more is None:
+            found = np.sort(found)
+            starts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.empty(0, int)
+            where, often = found[starts], np.diff(np.r_[starts, len(found)])
+        else:
+            total = np.zeros(1 << self.bits, np.int64)
+            for part in chain((found, more), slices):
+                total += np.bincount(part, minlength=len(total))
+            where = np.flatnonzero(total)
+            often = total[where]
+        where = where.astype(np.int32)
+        return np.concatenate([where[often >= n] + (j << self.bits) for j, n in enumerate(self.tiers)])
 
 
 def counts(text: str, orders: Sequence[int], bits: int) -> np.ndarray:

@@ -1,12 +1,15 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-A text is the set of its hashed n-grams. Each n-gram is scaled by the logarithm of how much
-commoner it is in texts labelled toxic than in the others, and logistic regression is trained
-on the scaled sets. Whole texts are read, in training and in scoring.
+A text is the set of its hashed n-grams, each with the tiers of repetition it reaches: in some
+languages a toxic word shows by being said again and again. Each is scaled by the logarithm of
+how much commoner it is in texts labelled toxic than in the others, counted over all labelled
+texts, and logistic regression is trained on the scaled sets of a sample, even in both labels.
+Whole texts are read, in training and in scoring.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,13 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import crc32_of_id
-from millrace.llm.ngrams import Presence
+from millrace.llm.ngrams import Tiers
 
 ORDERS = (3, 4, 5)
 BITS = 18
-#: Labelled rows the model is fitted on at most: those with the smallest hash of their id.
-SAMPLE = 4000
-ROUNDS = 60
+#: How often a text must hold an n-gram for each of its tiers.
+TIERS = (1, 2, 3, 4, 6, 8)
+#: The regression is fitted on half as many rows of each label at most: those with the smallest
+#: hash of their id. The ratios are counted over all labelled rows.
+SAMPLE = 8000
+#: Cost of a row's loss against the squared weights, and the change at which the fit has converged.
+COST, STILL, ROUNDS = 1.0, 1e-3, 200
 #: Rows whose id's crc32 has remainder 0 are held out.
 FOLDS = 5
 
@@ -30,99 +37,146 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(crc32_of_id(doc_id) % FOLDS == 0, F.lit(False))
 
 
-def fit_ratios(
-    sets: list[np.ndarray], toxic: np.ndarray, size: int, rounds: int = ROUNDS
-) -> tuple[np.ndarray, float]:
-    """Weight of each bucket, and the intercept, from the sets and their 0/1 labels.
+def log_ratios(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Logarithm of how much commoner each feature is in toxic texts; 0 for those met once."""
+    ratio = np.log((with_toxic + 1) / (toxic + 2)) - np.log((with_clean + 1) / (clean + 2))
+    ratio[with_toxic + with_clean < 2] = 0
+    return ratio
 
+
+def fit(sets: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weight of each feature, and the intercept, from the sets, their 0/1 labels and the ratios.
+
+    Logistic regression by dual coordinate descent: one text after another moves the weights
+    to where its own loss is least, until none moves any more. Both labels weigh alike.
     Where only one label occurs, or none, nothing can be learnt: all weights are 0 and the
     intercept stands for that label (no labels count as 0).
     """
-    lengths = np.array([len(s) for s in sets], np.int64)
-    if len(sets) == 0 or toxic.min() == toxic.max():
-        return np.zeros(size, np.float32), 20.0 if len(sets) and toxic[0] else -20.0
-    where = np.concatenate(sets).astype(np.int32)
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
-    filled = lengths > 0
-    with_toxic = np.bincount(where, np.repeat(toxic, lengths), size)
-    seen = np.bincount(where, minlength=size)
-    ratio = np.log((with_toxic + 1) / (with_toxic + 1).sum())
-    ratio -= np.log((seen - with_toxic + 1) / (seen - with_toxic + 1).sum())
-    ratio[seen < 2] = 0
-    scaled = ratio[where].astype(np.float32)
-
-    def per_text(values: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(lengths))
-        if filled.any():
-            total[filled] = np.add.reduceat(values, starts[filled], dtype=np.float64)
-        return total
-
-    # Heavy-ball descent on the logistic loss, with steps fitted to the mean squared length.
-    step = 40 / max(per_text(scaled**2).mean(), 1e-9) / len(lengths)
-    weight, move = np.zeros(size), np.zeros(size)
-    level, level_move = 0.0, 0.0
-    for _ in range(rounds):
-        margin = per_text(weight[where].astype(np.float32) * scaled) + level
-        slope = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic
-        gradient = np.bincount(where, np.repeat(slope, lengths) * scaled, size)
-        move = 0.9 * move - step * gradient - 1e-4 * step * weight
-        level_move = 0.9 * level_move - 0.5 * slope.mean()
-        weight += move
-        level += level_move
+    n, ones = len(sets), int(toxic.sum())
+    if n == 0 or ones in (0, n):
+        return np.zeros(len(ratio), np.float32), 20.0 if n and ones else -20.0
+    side = np.where(toxic > 0, 1.0, -1.0)
+    cost = COST * np.where(toxic > 0, max(1.0, (n - ones) / ones), max(1.0, ones / (n - ones)))
+    length = np.array([float(ratio[s] @ ratio[s]) for s in sets]) + 1  # 1 for the intercept
+    share, weight, level = np.zeros(n), np.zeros(len(ratio)), 0.0
+    draw = np.random.default_rng(0)
+    for _ in range(ROUNDS):
+        largest = 0.0
+        for i in draw.permutation(n):
+            those = sets[i]
+            scaled = ratio[those]
+            margin = side[i] * (float(weight[those] @ scaled) + level)
+            new = _least(margin, share[i], length[i], cost[i])
+            largest = max(largest, abs(new - share[i]) / cost[i])
+            weight[those] += (new - share[i]) * side[i] * scaled
+            level += (new - share[i]) * side[i]
+            share[i] = new
+        if largest < STILL:
+            break
     return (weight * ratio).astype(np.float32), float(level)
 
 
+def _least(margin: float, share: float, length: float, cost: float) -> float:
+    """The share between 0 and `cost` at which one text's dual loss is least."""
+    low, high, z = -60.0, 60.0, min(max(-margin, -50.0), 50.0)
+    for _ in range(100):
+        p = 1 / (1 + math.exp(-z))
+        slope = margin + (cost * p - share) * length + z
+        low, high = (low, z) if slope > 0 else (z, high)
+        after = z - slope / (cost * p * (1 - p) * length + 1)
+        after = after if low < after < high else (low + high) / 2
+        if abs(after - z) < 1e-9:
+            break
+        z = after
+    return cost / (1 + math.exp(-z))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per feature of this task's texts how many toxic and clean ones have it; -1 stands for all."""
+    features = Tiers(ORDERS, BITS, TIERS)
+    seen, all_ = np.zeros((2, features.size), np.int64), np.zeros(2, np.int64)
+    for batch in batches:
+        for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+            seen[toxic, features.of(text.as_py() or "")] += 1
+            all_[toxic] += 1
+    if all_.any():
+        where = np.flatnonzero(seen.any(0))
+        feature = np.r_[-1, where].astype(np.int32)
+        counts = np.c_[all_, seen[:, where]]
+        for at in range(0, len(feature), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            columns = [feature[part], counts[1, part], counts[0, part]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["feature", "toxic", "clean"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    presence = Presence(ORDERS, BITS)
+    features = Tiers(ORDERS, BITS, TIERS)
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)
-            found = [presence.of(t or "") for t in part.column("text").to_pylist()]
+            found = [features.of(t or "") for t in part.column("text").to_pylist()]
             offsets = np.r_[0, np.cumsum([len(f) for f in found])]
             values = np.concatenate([np.empty(0, int), *found]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), lists, part.column("toxic")], ["doc_id", "buckets", "toxic"]
+                [part.column("doc_id"), lists, part.column("toxic")], ["doc_id", "features", "toxic"]
             )
 
 
-def _fit(sample: pa.Table) -> pa.Table:
-    sample = sample.sort_by("doc_id")
-    sets = [s.values.to_numpy() for s in sample.column("buckets")]
-    toxic = sample.column("toxic").to_numpy().astype(float)
-    weights, level = fit_ratios(sets, toxic, 1 << BITS)
-    return pa.table({"weights": [weights.tobytes()], "level": [level]})
-
-
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Fit on at most `sample` labelled documents outside the held-out fold.
+    """Ratios from all labelled documents outside the held-out fold, weights from a sample.
 
     `labels` needs doc_id and toxic; rows with a null in either are ignored, of repeated ids
-    the label 1 wins. The texts are turned into sets where they lie, and only those of the
-    sample, a bounded number, meet in the one task that fits.
+    the label 1 wins. Repeated documents count in the ratios as often as they occur. Sets are
+    made where the texts lie, and only those of the sample, at most half as many of each label
+    as it holds, meet in the one task that fits.
     """
-    chosen = (
+    size = len(TIERS) << BITS
+    known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .where(~held_out())
         .groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
+        .agg((F.max("toxic") >= 1).cast("int").alias("toxic"))
+    )
+    own = docs.select("doc_id", "text").where("doc_id IS NOT NULL").where(~held_out())
+    counted = (
+        own.join(known, "doc_id")
+        .select("text", "toxic")
+        .mapInArrow(_count, "feature int, toxic long, clean long")
+        .groupBy("feature")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .toArrow()
     )
+    feature, toxic, clean = (counted.column(c).to_numpy() for c in ("feature", "toxic", "clean"))
+    with_toxic, with_clean = np.zeros(size + 1), np.zeros(size + 1)  # the last one is -1
+    with_toxic[feature], with_clean[feature] = toxic, clean
+    ratio = log_ratios(with_toxic[:-1], with_clean[:-1], with_toxic[-1], with_clean[-1])
+    shared = docs.sparkSession.sparkContext.broadcast(ratio.astype(np.float32))
+
+    halves = [
+        known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
+        for label in (0, 1)
+    ]
     texts = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")  # `sample` rows of two numbers
+        own.join(F.broadcast(halves[0].union(halves[1])), "doc_id")  # `sample` rows of two numbers
         .groupBy("doc_id")
         .agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
     )
+
+    def work(chosen: pa.Table) -> pa.Table:
+        chosen = chosen.sort_by("doc_id")
+        sets = [s.values.to_numpy() for s in chosen.column("features")]
+        weights, level = fit(sets, chosen.column("toxic").to_numpy(), shared.value)
+        return pa.table({"weights": [weights.tobytes()], "level": [level]})
+
     model = (
-        texts.mapInArrow(_sets, "doc_id long, buckets array<int>, toxic int")
+        texts.mapInArrow(_sets, "doc_id long, features array<int>, toxic int")
         .groupBy()
-        .applyInArrow(_fit, "weights binary, level double")
+        .applyInArrow(work, "weights binary, level double")
         .first()
     )
     if model is None:
-        return fit_ratios([], np.empty(0), 1 << BITS)
+        return fit([], np.empty(0), np.zeros(size))
     return np.frombuffer(model.weights, np.float32), model.level
 
 
@@ -142,12 +196,12 @@ def score(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, level = shared.value
-        presence = Presence(ORDERS, BITS)
+        features = Tiers(ORDERS, BITS, TIERS)
         for batch in batches:
             rows = batch.column("row")
             texts = rows.field("text") if carried else batch.column("text")
             margins = [
-                weights[presence.of(t.as_py())].sum(dtype=np.float64) if t.is_valid else 0.0
+                weights[features.of(t.as_py())].sum(dtype=np.float64) if t.is_valid else 0.0
                 for t in texts
             ]
             scores = 1 / (1 + np.exp(-np.clip(np.array(margins) + level, -30, 30)))
