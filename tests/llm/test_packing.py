@@ -26,11 +26,23 @@ def test_ids_are_those_of_the_json_vocabulary(text):
     import public_tokenizers
 
     known = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    known.encode_special_tokens = True
     wanted = known.encode(text, add_special_tokens=False).ids + [1]
     assert byte_bpe()([text])[0].tolist() == wanted
 
 
+@pytest.mark.parametrize("text", ["hi <|endoftext|> there", "a  <|endoftext|>", "<|endoftext|><|endoftext|>\n\nb", "<|endoftext"])
+def test_added_tokens_in_the_text_are_those_of_the_json_vocabulary(text):
+    assert byte_bpe()([text])[0].tolist() == json_ids(text)
+
+
+def json_ids(text):
+    tokenizers = pytest.importorskip("tokenizers")
+    import public_tokenizers
+
+    known = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return known.encode(text, add_special_tokens=False).ids + [1]
+
+
 def vocabulary():
     """A stand-in vocabulary: one id per character, then 1. It goes to the workers as a value."""
 
