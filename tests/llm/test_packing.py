@@ -35,6 +35,12 @@ def test_added_tokens_in_the_text_are_those_of_the_json_vocabulary(text):
     assert byte_bpe()([text])[0].tolist() == json_ids(text)
 
 
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_very_long_runs_of_blanks(blank):
+    text = "a" + blank * 2_000_000 + "b <|endoftext|>"
+    assert byte_bpe()([text, "c"])[0].tolist() == json_ids(text)
+
+
 def json_ids(text):
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers
