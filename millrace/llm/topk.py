@@ -4,10 +4,10 @@ Each dimension is a list of a block's rows sorted by their component. A query re
 from the end that is best for it, so many entries at a time, and keeps for every row a lower
 bound (what was read, and the worst of each list not met yet) and an upper bound (what was
 read, and the last entry read of the others). It stops once few rows outside the best k can
-still reach the k-th lower bound; the scores of those that can are then resolved exactly.
+still reach the k-th lower bound of distinct vec_ids; the scores of those that can are then resolved exactly.
 
 Queries and rows are cut into blocks and each pair of blocks is a task; every block yields its
-k best, and the best k of those are the result. Scores are integers, so nothing is rounded.
+k best vec_ids, and the best k of those are the result. Scores are integers, so nothing is rounded.
 """
 
 from __future__ import annotations
@@ -31,13 +31,17 @@ OPEN = 4
 
 
 def no_random_access(
-    rows: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int
+    rows: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, starts: np.ndarray | None = None
 ) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the rows that may be among its k best, ties included, and their scores.
 
     `rows` and `queries` hold integers; `own` marks, per row and query, what is no candidate.
+    Rows of one id lie together and count as one among the k best; `starts` says where each id
+    begins (without it every row is an id).
     """
     n, columns = len(rows), np.arange(rows.shape[1])
+    starts = np.arange(n) if starts is None else starts
+    ids = len(starts)
     lists = np.argsort(-rows, axis=0, kind="stable")  # greatest first, one list a column
     place = np.empty_like(lists)
     np.put_along_axis(place, lists, np.arange(n)[:, None], axis=0)
@@ -57,7 +61,8 @@ def no_random_access(
         last_up, last_down = rows[lists[depth - 1], columns], rows[lists[n - depth], columns]
         upper = lower + (up * (last_up - least)) @ (place >= depth).astype(float)
         upper += (down * (last_down - most)) @ (place < n - depth).astype(float)
-        bar = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(lower), -np.inf)
+        of_ids = lower if ids == n else np.maximum.reduceat(lower, starts, axis=1)
+        bar = np.partition(of_ids, ids - k, axis=1)[:, ids - k] if ids > k else np.full(len(lower), -np.inf)
         open_ = (upper >= bar[:, None]) & (upper > -np.inf)
         settled = (open_.sum(1) <= OPEN * k) | (depth == n)
         for q in np.flatnonzero(settled):
@@ -76,11 +81,17 @@ def _search(k: int):
         x = np.floor(SCALE * matrix(block.column("embedding")))
         rows, queries = x[~asks], x[asks]
         row_ids, query_ids = ids[~asks], ids[asks]
+        together = np.argsort(row_ids, kind="stable")
+        rows, row_ids = rows[together], row_ids[together]
         out: list[tuple] = []
         if len(rows) and len(queries):
             own = row_ids[:, None] == query_ids[None, :]
-            for query, (those, scores) in zip(query_ids, no_random_access(rows, queries, own, k)):
-                best = np.lexsort((row_ids[those], -scores))[:k]
+            starts = np.unique(row_ids, return_index=True)[1]
+            found = no_random_access(rows, queries, own, k, starts)
+            for query, (those, scores) in zip(query_ids, found):
+                order = np.lexsort((row_ids[those], -scores))
+                firsts = np.unique(row_ids[those][order], return_index=True)[1]  # best row of each id
+                best = order[np.sort(firsts)[:k]]
                 out += [(query, row_ids[those[b]], scores[b]) for b in best]
         columns = list(zip(*out)) or [(), (), ()]
         return pa.table(
@@ -104,7 +115,7 @@ def top_k(vectors: DataFrame, every: int, k: int = K) -> DataFrame:
     asked = good.where(F.col("vec_id") % every == 0)
     count = good.agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     row_blocks, query_blocks = -(-count["n"] // ROWS) or 1, -(-count["q"] // QUERIES) or 1
-    number = lambda salt, blocks: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(blocks)).cast("int")
+    number = lambda salt, blocks: F.pmod(F.xxhash64("vec_id", "embedding", F.lit(salt)), F.lit(blocks)).cast("int")
     each = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     rows = good.select(
         number(0, row_blocks).alias("r"), each(query_blocks).alias("q"), F.lit(False).alias("asks"), "vec_id", "embedding"

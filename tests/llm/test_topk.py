@@ -61,3 +61,15 @@ def test_few_rows_odd_vectors_and_empty_tables(spark):
     assert search(spark, good + odd, 10) == brute(good, 10)
     assert search(spark, [], 10) == set()
     assert search(spark, [(0, [1.0])], 10) == set()
+
+
+@pytest.mark.parametrize("block", [4096, 40])
+def test_several_vectors_of_one_id_take_one_place(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "ROWS", block)
+    draw = np.random.default_rng(1)
+    rows = [(i, [float(x) / 16 for x in draw.integers(-3, 4, 5)]) for i in range(200)]
+    rows += [(7, [1 + i / 64] * 5) for i in range(60)] + [(0, [1.0] * 5), (20, [1.0, 2.0, 1.0, 1.0, 1.0])]
+    rows += [(int(i), [float(x) / 16 for x in draw.integers(-3, 4, 5)]) for i in draw.integers(0, 200, 200)]
+    found = search(spark, rows, 10)
+    assert found == brute(rows, 10)
+    assert len([r for r in found if r[0] == 0]) == 5
