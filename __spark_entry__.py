@@ -794,6 +794,57 @@ def incremental_reload(spark, sf_dir):
     return m.read_table(spark, f"{root}/events").drop("ingest_date", "run_id")
 
 
+@query("SELECT * FROM events")
+def incremental_replay(spark, sf_dir):
+    """All events landed on three days; the second run is repeated after the third day has
+    landed and once more at the end, and reads its own interval each time."""
+    events = table(spark, sf_dir, "events")
+    root = m.new_folder(spark, "replays")
+    job = {
+        "job_name": "events",
+        "source": {"path": f"{root}/raw/events", "incremental": {"column": "ingest_date"}},
+        "target": {"path": f"{root}/events", "mode": "append"},
+        "transforms": [],
+        "ledger": f"{root}/ledger",
+    }
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for day, run_ids in enumerate((["first"], ["second"], ["second", "third", "second"])):
+        m.land_raw(events.filter(third == day), f"{root}/raw", "events", f"2024-02-0{day + 1}")
+        for run_id in run_ids:
+            m.run_pipeline(spark, job, run_id)
+    return m.read_table(spark, f"{root}/events").drop("ingest_date", "run_id")
+
+
+@query(
+    """SELECT 'reconcile' AS "check", "check" || ', ' || kind AS subject, observed,
+      observed AS threshold, true AS passed
+    FROM (SELECT 'rows' AS "check", event_type AS kind, CAST(count(*) AS DOUBLE) AS observed
+      FROM events GROUP BY event_type
+      UNION ALL SELECT 'cents', event_type, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE)
+      FROM events GROUP BY event_type)"""
+)
+def append_reconciled(spark, sf_dir):
+    """The gate lines of an appending run whose id looks like a number."""
+    root = m.new_folder(spark, "reconciled")
+    cents = F.round(F.col("value") * 100).cast("long").alias("cents")
+    table(spark, sf_dir, "events").select("*", cents).write.parquet(f"{root}/raw")
+    job = {
+        "job_name": "events",
+        "source": {"path": f"{root}/raw"},
+        "target": {"path": f"{root}/events", "mode": "append"},
+        "transforms": [],
+        "quality_checks": {
+            "null_threshold": 1,
+            "reconcile": {"group_by": ["event_type"], "sums": ["cents"]},
+        },
+    }
+    for run_id in ("006", "007"):
+        run = m.run_pipeline(spark, job, run_id)
+    lines = [tuple(q) for q in run.quality if q.check == "reconcile"]
+    kinds = "check string, subject string, observed double, threshold double, passed boolean"
+    return spark.createDataFrame(lines, kinds)
+
+
 DIRTY_CONTRACT = [
     {"name": "c_custkey", "type": "long", "nullable": False},
     {"name": "raw_name", "type": "string", "nullable": False},

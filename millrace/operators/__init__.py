@@ -15,6 +15,7 @@ from millrace.operators.ledger import (
     logged_events,
     read_event_log,
     read_ledger,
+    run_intervals,
     run_metrics,
     run_state,
 )
@@ -65,6 +66,7 @@ __all__ = [
     "reconcile_lines",
     "remove_duplicates",
     "row_count_check",
+    "run_intervals",
     "run_metrics",
     "run_state",
     "schema_drift",

@@ -19,6 +19,8 @@ from millrace.sources.tables import write_table
 RUNNING = "RUNNING"
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
+#: A run that died or failed for good: what it wrote is gone and its rows are read by others.
+ABANDONED = "ABANDONED"
 
 # The events of a job that queries over its log look for.
 JOB_STARTED = "job_started"
@@ -37,6 +39,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("rows_written", T.LongType()),
         T.StructField("watermark", T.StringType()),
         T.StructField("error_message", T.StringType()),
+        T.StructField("low_mark", T.StringType()),
+        T.StructField("attempt", T.StringType()),
     ]
 )
 
@@ -125,6 +129,53 @@ def last_success(ledger: DataFrame, job_name: str | None = None) -> DataFrame:
     return newest.select("job_name", "run.*")
 
 
+def run_intervals(ledger: DataFrame) -> DataFrame:
+    """Per run: its state and the interval (`low_mark`, `watermark`] that its last success read.
+
+    A run that succeeded once keeps its interval whatever its later repetitions come to, for
+    the rows are its own from then on. Both marks are null for a run that never succeeded.
+    """
+    done = F.max(
+        F.when(F.col("status") == SUCCESS, F.struct("event_time", "low_mark", "watermark"))
+    )
+    runs = ledger.groupBy("job_name", "run_id").agg(
+        F.min("event_time").alias("start_time"),
+        F.max(F.struct("event_time", (F.col("status") != RUNNING).alias("ended"), "status")).alias(
+            "last"
+        ),
+        done.alias("done"),
+    )
+    return runs.select(
+        "job_name",
+        "run_id",
+        "start_time",
+        "last.status",
+        F.col("done").isNotNull().alias("succeeded"),
+        "done.low_mark",
+        "done.watermark",
+    )
+
+
+def greatest_mark(intervals: DataFrame, wanted: T.DataType) -> str | None:
+    """The greatest upper mark of runs that succeeded, compared as values of type `wanted`."""
+    typed = F.col("watermark").try_cast(wanted)
+    top = intervals.filter("succeeded").agg(F.max_by("watermark", typed).alias("mark")).first()
+    return top["mark"]
+
+
+def open_attempts(ledger: DataFrame, now: datetime, lease_seconds: float | None) -> DataFrame:
+    """Launches that began and did not end: `run_id`, `attempt`.
+
+    With a lease, a launch that has not written to the ledger for that long is dead and left out.
+    """
+    last = F.max(F.struct("event_time", (F.col("status") != RUNNING).alias("ended")))
+    found = ledger.groupBy("run_id", "attempt").agg(last.alias("last")).filter("NOT last.ended")
+    if lease_seconds is not None:
+        age = F.timestamp_diff("MICROSECOND", F.col("last.event_time"), F.lit(now).cast("timestamp_ntz"))
+        found = found.filter(age < lease_seconds * 1_000_000)
+    return found.select("run_id", "attempt")
+
+
 def run_metrics(ledger: DataFrame) -> DataFrame:
     """Per job: runs by state, share of successes, rows moved and seconds taken."""
     state = run_state(ledger)
@@ -147,10 +198,18 @@ def run_metrics(ledger: DataFrame) -> DataFrame:
 
 
 def incremental_filter(
-    df: DataFrame, column: str, watermark, inclusive: bool = False, nulls: bool = False
+    df: DataFrame,
+    column: str,
+    watermark,
+    inclusive: bool = False,
+    nulls: bool = False,
+    until=None,
 ) -> DataFrame:
     """Rows newer than a watermark; without one, all rows.
 
+    `until` leaves out rows newer than that value, so that both marks of an earlier run give
+    the rows of that run again.
+
     `inclusive` takes the rows of the watermark itself again, for sources in which more of them
     may arrive later; write such rows so that they replace those read before. `nulls` keeps
     rows without a value, which otherwise only a first run without a watermark sees.
@@ -158,13 +217,17 @@ def incremental_filter(
     The watermark is cast to the type of the column, never the column to that of the
     watermark, so that the comparison reaches the scan.
     """
-    if watermark is None:
-        return df
     value = pick(df, column)
     wanted = df.select(value.alias("v")).schema["v"].dataType
-    mark = F.lit(watermark).cast(wanted)
-    newer = value >= mark if inclusive else value > mark
-    return df.filter(newer | value.isNull() if nulls else newer)
+    bounds = []
+    if watermark is not None:
+        mark = F.lit(watermark).cast(wanted)
+        bounds.append(value >= mark if inclusive else value > mark)
+    if until is not None:
+        bounds.append(value <= F.lit(until).cast(wanted))
+    for bound in bounds:
+        df = df.filter(bound | value.isNull() if nulls else bound)
+    return df
 
 
 def append_log_events(events: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@ from millrace.plans.curated import Link, aggregate_view, dimension, fact_table,
 from millrace.plans.staging import (
     PipelineRun,
     QualityError,
+    RunConflictError,
     SchemaDriftError,
     run_pipeline,
     transform,
@@ -11,6 +12,7 @@ __all__ = [
     "Link",
     "PipelineRun",
     "QualityError",
+    "RunConflictError",
     "SchemaDriftError",
     "aggregate_view",
     "dimension",

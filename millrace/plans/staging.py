@@ -18,14 +18,15 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from millrace.functions.columns import normalize_name, pick
+from millrace.functions.columns import normalize_name, pick, quoted
 from millrace.operators import cleanse, dedup, ledger, lookup, quality, schema
 from millrace.sources.tables import (
     FULL_TIMES,
     StagedTable,
     driver_rows,
+    drop_partition,
     read_table,
     write_table,
 )
@@ -42,6 +43,7 @@ class PipelineRun:
     status: str = ledger.RUNNING
     rows_read: int | None = None
     rows_written: int | None = None
+    low_mark: str | None = None
     watermark: str | None = None
     drift: list[Row] = field(default_factory=list)
     quality: list[Row] = field(default_factory=list)
@@ -51,6 +53,10 @@ class QualityError(ValueError):
     """A quality check failed; nothing was written."""
 
 
+class RunConflictError(RuntimeError):
+    """Another launch of an incremental job is under way; nothing was read or written."""
+
+
 class SchemaDriftError(ValueError):
     """The source differs from the declared schema and the job does not allow it."""
 
@@ -199,6 +205,7 @@ class _Recorder:
 
     def __init__(self, spark: SparkSession, spec: Mapping, run: PipelineRun):
         self.spark, self.run, self.started = spark, run, time.monotonic()
+        self.spec, self.attempt = spec, uuid.uuid4().hex
         self.ledger, self.log = [
             _under(spec[k], run.job_name, run.run_id) if spec.get(k) else None
             for k in ("ledger", "event_log")
@@ -219,11 +226,22 @@ class _Recorder:
             run.rows_written,
             run.watermark,
             error,
+            run.low_mark,
+            self.attempt,
         )
         ledger.append_run_events(
             driver_rows(self.spark, [row], ledger.LEDGER_SCHEMA), self.ledger
         )
 
+    def end(self, launches: set[tuple[str, str | None]], status: str, why: str) -> None:
+        """Record for launches of any run of the job, as (run id, attempt), that they ended."""
+        for run_id, attempt in sorted(launches, key=str):
+            row = (self.run.job_name, run_id, status, ledger.utc_now()) + (None,) * 3
+            folder = _under(self.spec["ledger"], self.run.job_name, run_id)
+            ledger.append_run_events(
+                driver_rows(self.spark, [(*row, why, None, attempt)], ledger.LEDGER_SCHEMA), folder
+            )
+
     def event(self, event, level="INFO", rows_in=None, rows_out=None, detail=None) -> None:
         elapsed = round(time.monotonic() - self.started, 2)
         now = ledger.utc_now()
@@ -255,18 +273,74 @@ def _previous(spark: SparkSession, spec: Mapping) -> DataFrame | None:
     return rows.filter(F.col("job_name") == spec["job_name"])
 
 
-def _watermark(previous: DataFrame | None, job_name: str) -> str | None:
-    newest = ledger.last_success(previous, job_name).collect() if previous is not None else []
-    return newest[0]["watermark"] if newest else None
+def _open(previous: DataFrame | None, lease_seconds=None) -> set[tuple[str, str | None]]:
+    """Launches of the job that have begun and, as far as the ledger tells, not ended."""
+    if previous is None:
+        return set()
+    found = ledger.open_attempts(previous, ledger.utc_now(), lease_seconds)
+    return {(r["run_id"], r["attempt"]) for r in found.collect()}
+
+
+def _refuse(others: set[tuple[str, str | None]], job_name: str) -> None:
+    if others:
+        named = ", ".join(sorted({run_id for run_id, _ in others}))
+        raise RunConflictError(
+            f"job {job_name!r} is being run already, by {named}; if that launch is dead, "
+            "repeat it under its run id or give the job lease_seconds"
+        )
+
 
+def _dead_runs(previous: DataFrame | None) -> list[str]:
+    """Run ids that never succeeded and are not given up, the newest first.
 
-def _unfinished(previous: DataFrame | None) -> str | None:
-    """The run id of the newest run that began after the last success and did not succeed."""
+    There are as many as launches failed since the last run, since each run gives up the others.
+    """
     if previous is None:
-        return None
-    runs = ledger.run_state(previous)
-    newest = runs.orderBy(F.desc("start_time"), F.desc("run_id")).first()  # of one job
-    return newest["run_id"] if newest and newest["status"] != ledger.SUCCESS else None
+        return []
+    runs = ledger.run_intervals(previous).filter("NOT succeeded")
+    runs = runs.filter(F.col("status") != ledger.ABANDONED)
+    return [r["run_id"] for r in runs.orderBy(F.desc("start_time"), F.desc("run_id")).collect()]
+
+
+@dataclass
+class _Interval:
+    """What an incremental run reads: values above `low`; of a repeated run, up to `high`."""
+
+    low: str | None = None
+    high: str | None = None
+    replay: bool = False
+
+
+def _interval(previous: DataFrame | None, run_id: str, wanted) -> _Interval:
+    """The interval of a run by what the ledger holds of the job.
+
+    A run that succeeded before reads its own interval again, whatever has landed and run since.
+    Any other begins at the greatest mark that a successful run of the job has reached.
+    Ledgers that kept no lower mark give it as the greatest mark of the runs begun earlier.
+    """
+    if previous is None:
+        return _Interval()
+    runs = ledger.run_intervals(previous)
+    own = runs.filter((F.col("run_id") == run_id) & F.col("succeeded")).first()
+    others = runs.filter(F.col("run_id") != run_id)
+    if own is None:
+        return _Interval(ledger.greatest_mark(others, wanted))
+    low = own["low_mark"]
+    if low is None:
+        began = F.lit(str(own["start_time"])).cast("timestamp_ntz")
+        low = ledger.greatest_mark(others.filter(F.col("start_time") < began), wanted)
+    return _Interval(low, own["watermark"], replay=True)
+
+
+def _give_up(spark: SparkSession, spec: Mapping, run: PipelineRun, record: _Recorder, dead) -> None:
+    """Delete what runs that never succeeded have written, for this run reads their rows too."""
+    others = [run_id for run_id in dead if run_id != run.run_id]
+    target = spec["target"]
+    column = target.get("run_column", "run_id")
+    if others and column and target.get("mode", "overwrite").lower() == "append":
+        for run_id in others:
+            drop_partition(spark, target["path"], column, run_id)
+    record.end({(run_id, record.attempt) for run_id in others}, ledger.ABANDONED, "given up")
 
 
 def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None) -> PipelineRun:
@@ -286,9 +360,16 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
     append writes a partition `run_id` (another name by `target.run_column`) that a rerun of
     the same run id replaces; `run_column` None appends plainly, and a rerun doubles.
 
-    An incremental run reads what is newer than the last success and, where it replaces
-    partitions by the incremental column, the last value again. Without a run id it takes up
-    a run that did not succeed. Rows without a value in that column fail the job.
+    An incremental run reads what is newer than the greatest mark that a successful run has
+    reached and, where it replaces partitions by the incremental column, the last value again.
+    The ledger keeps both marks of every run: a run id that has succeeded reads its own
+    interval again, however much has landed since, and so replaces its rows by the same ones.
+    Without a run id a launch takes up the newest run that failed; what other runs that never
+    succeeded left in the target is deleted, since their rows are read again. While another
+    launch of the job is under way a launch raises RunConflictError: of two that begin at
+    once both may do so, but never both run. A launch that died without a trace holds the job
+    until it is repeated under its run id or, with `lease_seconds`, has been silent that long.
+    Rows without a value in the incremental column fail the job.
 
     Where a schema is declared and a cast step is listed, values that do not fit and nulls that
     are not allowed are counted in the pass that stages the rows and become gate lines.
@@ -298,8 +379,15 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
     """
     _checked(spec)
     incremental = spec["source"].get("incremental")
-    if incremental and run_id is None:
-        run_id = _unfinished(_previous(spark, spec))
+    over: set = set()
+    if incremental:
+        previous = _previous(spark, spec)
+        alive = _open(previous, spec.get("lease_seconds"))
+        # Launches to take over from: of the run that is named, and those whose lease is out.
+        over = {a for a in _open(previous) if a not in alive or a[0] == run_id}
+        _refuse(alive - over, spec["job_name"])
+        if run_id is None:
+            run_id = next(iter(_dead_runs(previous)), None)
     run = PipelineRun(spec["job_name"], run_id or uuid.uuid4().hex)
     record = _Recorder(spark, spec, run)
     stages: list[StagedTable] = []
@@ -312,11 +400,16 @@ def run_pipeline(spark: SparkSession, spec: Mapping, run_id: str | None = None)
                 run.rows_read, run.rows_written = done[0]["rows_read"], done[0]["rows_written"]
                 record.event("run_skipped")
                 return run
-        start_mark = _watermark(previous, run.job_name) if incremental else None
+        record.end(over, ledger.FAILED, "taken over")
         record.state(ledger.RUNNING)
         record.event(ledger.JOB_STARTED)
+        if incremental:
+            # Read once more, now that others can see this launch.
+            previous = _previous(spark, spec)
+            _refuse(_open(previous) - {(run.run_id, record.attempt)}, run.job_name)
+            _give_up(spark, spec, run, record, _dead_runs(previous))
 
-        df = _read(spark, spec, run, start_mark, stages)
+        df = _read(spark, spec, run, previous, stages)
         record.event(ledger.SOURCE_READ, rows_out=run.rows_read)
         if spec.get("schema"):
             spec = {**spec, "schema": _declared(spark, spec["schema"])}
@@ -426,12 +519,15 @@ def _reconciled(
     """Gate lines comparing the rows to be written with what the target now holds of them."""
     rule = {} if rule is True else dict(rule)
     sums, groups = list(rule.get("sums", [])), list(rule.get("group_by", []))
+    column, fmt = _run_column(df, target), target.get("format", "parquet")
+    # Partition values are read by the types they were written with: as text, run id "007" or
+    # "1e5" stays what it is, where Spark would take it for a number.
+    types = StructType([*df.schema, *([StructField(column, StringType())] if column else [])])
     written = read_table(
-        spark, target["path"], target.get("format", "parquet"), options=target.get("options")
+        spark, target["path"], fmt, None if fmt == "delta" else types, target.get("options")
     )
-    column = _run_column(df, target)
     if column:
-        written = written.filter(F.col(column).cast("string") == run.run_id)
+        written = written.filter(quoted(column) == run.run_id).drop(column)
     if target.get("replace") == "partitions":
         groups = list(dict.fromkeys([*groups, *parts]))
     both = quality.reconcile(df, written, groups, sums)
@@ -441,7 +537,7 @@ def _reconciled(
 
 
 def _read(
-    spark: SparkSession, spec: Mapping, run: PipelineRun, mark: str | None, stages: list
+    spark: SparkSession, spec: Mapping, run: PipelineRun, previous: DataFrame | None, stages: list
 ) -> DataFrame:
     """The source rows, counted in a pass that reads no column or the watermark column only.
 
@@ -471,13 +567,19 @@ def _read(
     if unmarked:
         raise ValueError(f"{unmarked} rows have no {column!r}, by which the source is read")
     inclusive = incremental.get("inclusive", _by_partition(spec))
-    df = ledger.incremental_filter(df, column, mark, inclusive)
+    wanted = df.select(pick(df, column)).schema[0].dataType
+    read = _interval(previous, run.run_id, wanted)
+    if read.replay and read.high is None:
+        df = df.filter(F.lit(False))  # the run found an empty source
+    df = ledger.incremental_filter(df, column, read.low, inclusive, until=read.high)
     newest = F.max(pick(df, column))
-    if isinstance(df.select(pick(df, column)).schema[0].dataType, TimestampType):
+    if isinstance(wanted, TimestampType):
         # With its offset, so that a run in another time zone reads the same instant.
         newest = F.date_format(newest, FULL_TIMES["timestampFormat"])
     seen = df.agg(F.count(F.lit(1)).alias("n"), newest.cast("string").alias("newest")).first()
-    run.rows_read, run.watermark = seen["n"], seen["newest"] or mark
+    run.rows_read, run.low_mark = seen["n"], read.low
+    # A repeated run keeps its upper mark, also where its last rows are gone from the source.
+    run.watermark = read.high if read.replay else seen["newest"] or read.low
     return df
 
 

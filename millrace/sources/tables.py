@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +105,18 @@ def land_raw(
     return path
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Delete one partition folder of a table; none and no table are nothing to delete."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return
+    for entry in system.listStatus(folder):
+        # Spark writes odd symbols of a value as %XX.
+        if unquote(entry.getPath().getName()) == f"{column}={value}":
+            system.delete(entry.getPath(), True)
+
+
 def driver_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
     """A few values that the driver holds as a table.
 

@@ -8,6 +8,8 @@ import millrace as m
 from conftest import plan, rows
 from millrace.operators.ledger import LEDGER_SCHEMA
 
+EVENT = LEDGER_SCHEMA[:8]  # without marks and launches
+
 T0 = datetime(2024, 1, 1)
 
 
@@ -28,7 +30,7 @@ def ledger(spark, tmp_path):
         ("b", "r1", "RUNNING", at(1), None, None, None, None),
     ]
     for event in events:
-        m.append_run_events(spark.createDataFrame([event], LEDGER_SCHEMA), path)
+        m.append_run_events(spark.createDataFrame([event], EVENT), path)
     return m.read_ledger(spark, path)
 
 
@@ -65,7 +67,7 @@ def test_job_filter_reaches_the_scan(ledger):
 
 def test_a_run_that_starts_again_is_running(spark, ledger, tmp_path):
     again = spark.createDataFrame(
-        [("a", "r5", "RUNNING", at(9), None, None, None, None)], LEDGER_SCHEMA
+        [("a", "r5", "RUNNING", at(9), None, None, None, None)], EVENT
     )
     state = m.run_state(ledger.unionByName(again)).filter("job_name = 'a' AND run_id = 'r5'").first()
     assert (state["status"], state["start_time"], state["end_time"]) == ("RUNNING", at(5), None)

@@ -372,9 +372,148 @@ def test_an_incremental_run_that_died_before_its_success_is_taken_up(spark, tmp_
         patch.setattr(staging._Recorder, "state", dies)
         with pytest.raises(SystemExit):
             m.run_pipeline(spark, spec)
-    run = m.run_pipeline(spark, spec)
+    with pytest.raises(m.RunConflictError):  # it might be running still
+        m.run_pipeline(spark, spec)
+    run = m.run_pipeline(spark, {**spec, "lease_seconds": 0})
     assert (run.status, run.rows_read) == ("SUCCESS", 1)
     assert rows(spark.read.parquet(spec["target"]["path"]).select("sku")) == [("s1",), ("s2",)]
+    assert m.run_pipeline(spark, spec).rows_read == 0  # the dead launch is closed
+
+
+def landed(spark, root, sku, when):
+    m.land_raw(spark.createDataFrame([(sku, "1", day(when))], ITEM), root, "items", f"2024-05-0{when}")
+
+
+@pytest.fixture()
+def increments(spark, tmp_path):
+    return {
+        "job_name": "items",
+        "source": {"path": str(tmp_path / "raw" / "items"), "incremental": {"column": "ingest_date"}},
+        "target": {"path": str(tmp_path / "kept"), "mode": "append"},
+        "transforms": [],
+        "ledger": str(tmp_path / "book"),
+    }
+
+
+def kept(spark, spec):
+    return sorted(r.sku for r in spark.read.parquet(spec["target"]["path"]).collect())
+
+
+def test_a_repeated_run_reads_its_own_interval_after_new_rows_have_landed(spark, tmp_path, increments):
+    root = str(tmp_path / "raw")
+    for when, name in ((1, "first"), (2, "second")):
+        landed(spark, root, f"s{when}", when)
+        assert m.run_pipeline(spark, increments, name).rows_read == 1
+    landed(spark, root, "s3", 3)
+    again = m.run_pipeline(spark, increments, "second")
+    assert (again.rows_read, again.low_mark, again.watermark) == (1, "2024-05-01", "2024-05-02")
+    assert kept(spark, increments) == ["s1", "s2"]
+    assert m.run_pipeline(spark, increments, "third").rows_read == 1
+    for name in ("first", "second", "third", "second"):
+        assert m.run_pipeline(spark, increments, name).rows_read == 1
+        assert kept(spark, increments) == ["s1", "s2", "s3"]
+    assert m.run_pipeline(spark, increments, "fourth").rows_read == 0
+    landed(spark, root, "s4", 4)
+    assert m.run_pipeline(spark, increments, "fourth").rows_read == 0  # it read an empty interval
+    assert m.run_pipeline(spark, increments).rows_read == 1
+    assert kept(spark, increments) == ["s1", "s2", "s3", "s4"]
+
+
+def test_marks_are_compared_as_values_not_as_text(spark, tmp_path, increments):
+    raw = increments["source"]["path"]
+    increments["source"]["incremental"]["column"] = "n"
+    for n in (9, 10, 11):
+        spark.sql(f"SELECT {n} AS n, 's{n}' AS sku").write.mode("append").parquet(raw)
+        assert m.run_pipeline(spark, increments, f"run {n}").rows_read == 1
+    assert m.run_pipeline(spark, increments, "run 9").rows_read == 1
+    assert kept(spark, increments) == ["s10", "s11", "s9"]
+
+
+def test_a_failed_repetition_keeps_the_interval(spark, tmp_path, increments, monkeypatch):
+    import millrace.plans.staging as staging
+
+    root = str(tmp_path / "raw")
+    for when, name in ((1, "first"), (2, "second")):
+        landed(spark, root, f"s{when}", when)
+        m.run_pipeline(spark, increments, name)
+    with monkeypatch.context() as patch:
+        patch.setattr(staging, "_write", lambda *a: (_ for _ in ()).throw(OSError("full")))
+        with pytest.raises(OSError):
+            m.run_pipeline(spark, increments, "first")
+    landed(spark, root, "s3", 3)
+    assert m.run_pipeline(spark, increments).rows_read == 1  # not taken up as if it had no rows
+    assert m.run_pipeline(spark, increments, "first").rows_read == 1
+    assert kept(spark, increments) == ["s1", "s2", "s3"]
+
+
+def test_what_a_failed_run_left_is_deleted_before_others_read_its_rows(spark, tmp_path, increments, monkeypatch):
+    import millrace.plans.staging as staging
+
+    root, state_of = str(tmp_path / "raw"), staging._Recorder.state
+    landed(spark, root, "s1", 1)
+
+    def dies(self, status, error=None):
+        if status == "SUCCESS":
+            raise OSError("after the target was written")
+        return state_of(self, status, error)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging._Recorder, "state", dies)
+        for name in ("odd/name 1", "b"):
+            with pytest.raises(OSError):
+                m.run_pipeline(spark, increments, name)
+    assert kept(spark, increments) == ["s1"]
+    landed(spark, root, "s2", 2)
+    assert m.run_pipeline(spark, increments, "c").rows_read == 2
+    assert kept(spark, increments) == ["s1", "s2"]
+    book = m.run_state(m.read_ledger(spark, increments["ledger"]))
+    assert {r.run_id: r.status for r in book.collect()} == {
+        "odd/name 1": "ABANDONED", "b": "ABANDONED", "c": "SUCCESS"
+    }
+    assert m.run_pipeline(spark, increments, "b").rows_read == 0
+    assert kept(spark, increments) == ["s1", "s2"]
+
+
+def test_of_two_launches_at_once_one_backs_off(spark, tmp_path, increments, monkeypatch):
+    import millrace.plans.staging as staging
+
+    landed(spark, str(tmp_path / "raw"), "s1", 1)
+    state_of, inner = staging._Recorder.state, []
+
+    def meets(self, status, error=None):
+        state_of(self, status, error)
+        if status == "RUNNING" and not inner:
+            inner.append("begun")
+            with pytest.raises(m.RunConflictError):
+                m.run_pipeline(spark, increments)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging._Recorder, "state", meets)
+        assert m.run_pipeline(spark, increments).rows_read == 1
+    assert kept(spark, increments) == ["s1"]
+
+
+def test_marks_of_an_old_ledger_are_found(spark, tmp_path, increments):
+    """Ledgers written before lower marks were kept."""
+    root = str(tmp_path / "raw")
+    for when, name in ((1, "first"), (2, "second"), (3, "third")):
+        landed(spark, root, f"s{when}", when)
+        m.run_pipeline(spark, increments, name)
+    old = m.read_ledger(spark, increments["ledger"]).drop("low_mark", "attempt").collect()
+    fields = m.read_ledger(spark, increments["ledger"]).drop("low_mark", "attempt").schema
+    book = {**increments, "ledger": str(tmp_path / "old")}
+    spark.createDataFrame(old, fields).coalesce(1).write.parquet(f"{book['ledger']}/job-items/run-x")
+    assert m.run_pipeline(spark, book, "second").rows_read == 1
+    assert kept(spark, book) == ["s1", "s2", "s3"]
+
+
+@pytest.mark.parametrize("name", ["007", "1e5", "2024-01-01", "true", "a/b c", "None"])
+def test_a_target_is_reconciled_whatever_the_run_id_looks_like(spark, tmp_path, name):
+    spec = shipments(spark, tmp_path, [("s1", "4", day(1)), ("s2", "5", day(2))])
+    spec["target"] = {"path": str(tmp_path / "kept"), "mode": "append"}
+    for run_id in (name, "other", name):
+        assert m.run_pipeline(spark, spec, run_id).rows_written == 2
+    assert spark.read.parquet(spec["target"]["path"]).count() == 4
 
 
 def test_whole_days_can_be_read_again_until_they_are_complete(spark, tmp_path):
