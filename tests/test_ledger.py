@@ -8,7 +8,7 @@ import millrace as m
 from conftest import plan, rows
 from millrace.operators.ledger import LEDGER_SCHEMA
 
-EVENT = LEDGER_SCHEMA[:8]  # without marks and launches
+EVENT = LEDGER_SCHEMA[:8]  # rows without marks and launches
 
 T0 = datetime(2024, 1, 1)
 
@@ -69,7 +69,7 @@ def test_a_run_that_starts_again_is_running(spark, ledger, tmp_path):
     again = spark.createDataFrame(
         [("a", "r5", "RUNNING", at(9), None, None, None, None)], EVENT
     )
-    state = m.run_state(ledger.unionByName(again)).filter("job_name = 'a' AND run_id = 'r5'").first()
+    state = m.run_state(ledger.unionByName(again, True)).filter("job_name = 'a' AND run_id = 'r5'").first()
     assert (state["status"], state["start_time"], state["end_time"]) == ("RUNNING", at(5), None)
 
 
