@@ -12,7 +12,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, language, minhash, mixing, multiindex, packing, pii, sharding, topk, toxicity
+from millrace.llm import (
+    chat,
+    collocations,
+    language,
+    minhash,
+    mixing,
+    multiindex,
+    packing,
+    pii,
+    prefixtrie,
+    sharding,
+    tokencount,
+    topk,
+    toxicity,
+)
 from millrace.llm.common import package_for_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +215,106 @@ def op10_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.joined("base"), 256).alias("base_sha256"),
         pii.joined("spans").alias("spans"),
     )
+
+
+@query(
+    """
+    WITH ids AS (
+      SELECT conv_id AS c, conv_id - conv_id % 5 AS base,
+        (list_reduce(list_prepend(4294967295::BIGINT,
+            list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+          lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+            lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)
+        )) AS crc
+      FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+    ), heads AS (SELECT c, base, xor(crc, 4294967295::BIGINT) % 9 AS h FROM ids
+    ), t AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+          md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+      FROM conversations
+    ), rebuilt AS (
+      SELECT c, 0 AS part, pos, role, text FROM heads JOIN t ON t.conv_id = base WHERE pos <= h
+      UNION ALL SELECT c, 1, pos, role, text FROM heads JOIN t ON t.conv_id = c WHERE pos > h
+    ), lists AS (
+      SELECT heads.c, coalesce(list({'role': role, 'text': text} ORDER BY part, pos)
+        FILTER (WHERE pos IS NOT NULL), []) AS turns
+      FROM heads LEFT JOIN rebuilt ON heads.c = rebuilt.c GROUP BY heads.c
+    ), members AS (
+      SELECT c, d, turns[1:d] AS p, turns[1:d - 1] AS up, len(turns) = d AS ends
+      FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM lists)
+    ), nodes AS (
+      SELECT d, p, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs,
+        CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(any_value(p[d].text)) END AS own,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+      FROM members GROUP BY d, p
+    ), childless AS (
+      SELECT *, NOT EXISTS (SELECT 1 FROM nodes k WHERE k.d = n.d + 1 AND k.up = n.p) AS leaf FROM nodes n
+    ), sums AS (
+      SELECT d, p, sum(own) AS saved, count(*) FILTER (WHERE leaf) AS leaves
+      FROM (SELECT lvl AS d, p[1:lvl] AS p, own, leaf
+        FROM (SELECT p, own, leaf, unnest(range(d + 1)) AS lvl FROM childless))
+      GROUP BY d, p
+    )
+    SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs,
+      (SELECT count(*) FROM nodes k WHERE k.d = n.d + 1 AND k.up = n.p) AS n_children,
+      s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN sums s ON s.d = n.d AND s.p = n.p
+    LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.up
+    """
+)
+def op11_time_forward_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.ordered(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    heads = F.pmod(F.crc32(conv.cast("string")), F.lit(9))
+    rebuilt = prefixtrie.with_shared_heads(turns, conv - conv % 5, heads, 8)
+    return prefixtrie.prefix_trie(rebuilt, turns.select("conv_id").distinct())
+
+
+@query()
+def op12_two_tier_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencount.token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k")
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query(
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+]')) AS t
+      FROM documents
+    ), split AS (
+      SELECT lang, list_filter(regexp_split_to_array(t, '[ 	]+'), lambda x: x <> '') AS ws FROM pieces
+    ), grams AS (
+      SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+        lambda s: array_to_string(ws[s:s + k - 1], ' '))) AS phrase
+      FROM split, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k
+    ), f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+    ), sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+    ), cand AS (
+      SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30
+    ), cuts AS (
+      SELECT c.*, cut, array_to_string(ws[1:cut], ' ') AS pl, array_to_string(ws[cut + 1:], ' ') AS pr
+      FROM cand c, (SELECT unnest([1, 2, 3]) AS cut) WHERE cut < k
+    ), scored AS (
+      SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r,
+        CAST((2000000::HUGEINT * c.a) // (l.f + r.f) AS BIGINT) AS score
+      FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.pl
+      JOIN f r ON r.lang = c.lang AND r.phrase = c.pr
+      QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1
+    ), around AS (
+      SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+      FROM cand, (SELECT unnest([2, 3]) AS m), (SELECT unnest([1, 2, 3]) AS s)
+      WHERE m < k AND s + m - 1 <= k GROUP BY ALL
+    ), kept AS (
+      SELECT s.* FROM scored s LEFT JOIN around x ON x.lang = s.lang AND x.phrase = s.phrase
+      WHERE x.longer IS NULL OR 100 * x.longer < 80 * s.a
+    )
+    SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, k.phrase) AS rank,
+      k.phrase, a, l, r, n, score
+    FROM kept k JOIN sizes z ON z.lang = k.lang QUALIFY rank <= 2000
+    """
+)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

@@ -21,10 +21,13 @@ COLUMNS = {
     "op8_": "doc_id size text_crc32 law shard slot grown_shard",
     "op9_": "doc_id held_out score predicted",
     "op10_": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_": "doc_id n_bytes n_tokens over_limit",
+    "op13_": "lang rank phrase a l r n score",
 }
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = entry_module.queries()
     assert "pipeline" in names
     for prefix in COLUMNS:
