@@ -165,46 +165,72 @@ class DoubleArray:
         self.alphabet = np.unique(phrases)
         self.phrases = phrases = phrases[np.lexsort(phrases.T[::-1])]
         symbols = np.searchsorted(self.alphabet, phrases) + 1  # 0 is no symbol
-        size = len(self.alphabet) + 2
-        self.base = np.zeros(size, np.int64)
-        self.check = np.full(size, -1, np.int64)
+        self.base = np.zeros(len(self.alphabet) + 2, np.int64)
+        self.check = np.full(len(self.base), -1, np.int64)
         self.check[0] = 0  # the root
-        self.free = 1
+        self.end = self.low = self.last = 1  # slots in use lie below end; few below low are free
         at = np.zeros(len(phrases), np.int64)  # the state each phrase has reached
         for level in range(phrases.shape[1]):
             at = self._grow(at, symbols[:, level])
-        self.accepts = np.full(len(self.check), -1, np.int64)
+        self.base, self.check = self.base[: self.end].copy(), self.check[: self.end].copy()
+        self.accepts = np.full(self.end, -1, np.int64)
         self.accepts[at] = np.arange(len(phrases))
 
     def _grow(self, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """Give the states `at` their children by `symbol`, and return those."""
-        edges, back = np.unique(np.stack([at, symbol], 1), axis=0, return_inverse=True)
-        parents, starts, n = np.unique(edges[:, 0], return_index=True, return_counts=True)
-        child = np.empty(len(edges), np.int64)
+        new = np.r_[True, (at[1:] != at[:-1]) | (symbol[1:] != symbol[:-1])]  # phrases are sorted
+        parent, code = at[new], symbol[new]
+        starts = np.flatnonzero(np.r_[True, parent[1:] != parent[:-1]])
+        n = np.diff(np.r_[starts, len(parent)])
+        child = np.empty(len(parent), np.int64)
         for i in np.argsort(-n, kind="stable"):  # the widest first
-            symbols = edges[starts[i] : starts[i] + n[i], 1]
-            base = self._place(symbols)
-            self.base[parents[i]] = base
-            child[starts[i] : starts[i] + n[i]] = base + symbols
-            self.check[base + symbols] = parents[i]
-        return child[back.ravel()]
-
-    def _place(self, symbols: np.ndarray) -> int:
-        """A base at which the slots of all symbols are free; slots in use only grow."""
-        while self.free < len(self.check) and self.check[self.free] >= 0:
-            self.free += 1
-        tried = np.flatnonzero(self.check[self.free : self.free + 4096] < 0)[:32] + self.free
-        for slot in tried:
-            base = int(slot - symbols[0])
-            if base + symbols[-1] >= len(self.check):
+            if n[i] == 1:
                 break
-            if base >= 0 and (self.check[base + symbols] < 0).all():
-                return base
-        base = max(0, len(self.check) - int(symbols[0]))
-        more = base + int(symbols[-1]) + 1 - len(self.check)
-        self.base = np.r_[self.base, np.zeros(more, np.int64)]
-        self.check = np.r_[self.check, np.full(more, -1, np.int64)]
-        return base
+            codes = code[starts[i] : starts[i] + n[i]]
+            base = self._place(codes)
+            self._take(parent[starts[i]], base, codes)
+            child[starts[i] : starts[i] + n[i]] = base + codes
+        # A single child fits anywhere; a base may be negative.
+        single = starts[n == 1]
+        self._reserve(self.end + len(single))
+        slots = np.flatnonzero(self.check[: self.end + len(single)] < 0)[: len(single)]
+        self.base[parent[single]] = slots - code[single]
+        self.check[slots] = parent[single]
+        child[single] = slots
+        self.end = max(self.end, int(slots.max(initial=0)) + 1)
+        return child[np.cumsum(new) - 1]
+
+    def _reserve(self, size: int) -> None:
+        if size > len(self.check):
+            more = max(size, 2 * len(self.check)) - len(self.check)
+            self.base = np.r_[self.base, np.zeros(more, np.int64)]
+            self.check = np.r_[self.check, np.full(more, -1, np.int64)]
+
+    def _take(self, parent: int, base: int, codes: np.ndarray) -> None:
+        self.base[parent] = base
+        self.check[base + codes] = parent
+        self.end = max(self.end, int(base + codes[-1]) + 1)
+
+    def _place(self, codes: np.ndarray) -> int:
+        """A base at which the slots of all codes are free: first fit, else behind the last slot."""
+        apart = codes[1:] - codes[0]
+        self._reserve(self.end + int(apart[-1]) + 2)
+        while self.low < self.end and (self.check[self.low : self.low + 4096] < 0).sum() < 64:
+            self.low += 4096
+        # Nodes come by falling width, so the next one often fits where the last one did.
+        for start, windows in ((self.last, 8), (self.low, 8)):
+            for at in range(start, min(self.end, start + windows * 4096), 4096):
+                free = np.flatnonzero(self.check[at : at + 4096] < 0) + at
+                free = free[free + apart[-1] < len(self.check)]
+                for step in apart:
+                    free = free[self.check[free + step] < 0]
+                    if not len(free):
+                        break
+                if len(free):
+                    self.last = at
+                    return int(free[0] - codes[0])
+        self.last = self.end
+        return self.end - int(codes[0])
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         """The symbol of each code, 0 for words that are in no phrase and ends of pieces."""
@@ -222,7 +248,7 @@ class DoubleArray:
             where, state = where[inside], state[inside]
             symbol = symbols[where + level]
             step = self.base[state] + symbol
-            good = (symbol > 0) & (step < len(self.check))
+            good = (symbol > 0) & (step > 0) & (step < len(self.check))
             step = np.where(good, step, 0)
             good &= self.check[step] == state
             where, state = where[good], step[good]
@@ -306,6 +332,8 @@ def _blocks(phrases: DataFrame, words: int, most: int) -> Iterator[tuple[np.ndar
     block = F.pmod(F.xxhash64(*names), F.lit(blocks))
     for i in range(blocks if n else 0):
         part = phrases.where(block == i).select(*names).toArrow()
+        if part.num_rows == 0:
+            continue
         codes = [c.to_numpy(zero_copy_only=False) for c in part.columns]
         yield np.stack(codes, 1).astype(np.int64).view(np.uint64), blocks == 1
 

@@ -62,10 +62,8 @@ class Lengths(dict):
         self.name, self.frequent, self.room = name, frequent, len(frequent) + cached
 
     def __missing__(self, piece: str) -> int:
-        try:
-            n = len(_encoding(self.name).encode_ordinary(piece))
-        except ValueError:  # about a million blanks in a row
-            n = len(_reference(self.name).encode(piece, add_special_tokens=False).ids)
+        # Not by way of the library's own pattern, which a million blanks in a row are too much for.
+        n = len(_encoding(self.name)._encode_single_piece(piece))
         if len(piece) <= LONGEST:
             if len(self) >= self.room:
                 self.clear()

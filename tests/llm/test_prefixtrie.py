@@ -1,0 +1,127 @@
+"""The trie of conversation prefixes against plain Python."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import prefixtrie as trie
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def in_order(turns):
+    """Turns of each conversation as (role, text), by turn, null first, then by hash."""
+    convs = defaultdict(list)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            convs[conv].append(((turn is not None, turn or 0), digest, (role, text)))
+    return {c: [said for *_, said in sorted(rows)] for c, rows in convs.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - int(c - 5 * int(c / 5))
+        out[c] = convs.get(base, [])[:h] + own[h:]
+    return out
+
+
+def expected(convs):
+    members = defaultdict(list)
+    for c, said in convs.items():
+        for d in range(len(said) + 1):
+            members[tuple(said[:d])].append(c)
+    children = defaultdict(list)
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    out, sums = [], {}
+    for p in sorted(members, key=len, reverse=True):
+        own = (len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0
+        leaves = sum(sums[k][0] for k in children[p]) or 1
+        sums[p] = leaves, own + sum(sums[k][1] for k in children[p])
+        ends = ",".join(str(c) for c in sorted(members[p]) if len(convs[c]) == len(p))
+        out.append((min(members[p]), len(p), min(members[p[:-1]]) if p else None, len(members[p]),
+                    len(children[p]), *sums[p], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=lambda r: r[:2])
+
+
+def found(spark, turns, shared=True, **more):
+    ordered = trie.ordered(spark.createDataFrame(turns, TURNS))
+    ids = ordered.select("conv_id").distinct()
+    if shared:
+        conv = F.col("conv_id")
+        ordered = trie.with_shared_heads(ordered, conv - conv % 5, F.pmod(F.crc32(conv.cast("string")), F.lit(9)), 8)
+    return sorted(map(tuple, trie.prefix_trie(ordered, ids, **more).collect()), key=lambda r: r[:2])
+
+
+def random_turns(seed, n=60):
+    pick = random.Random(seed)
+    turns = []
+    for c in pick.sample(range(-20, 100), n):
+        for t in range(pick.choice([1, 1, 2, 4, 7, 12])):
+            turn = pick.choice([t, t, t, None])
+            turns.append((c, turn, pick.choice(["user", "assistant", None]), pick.choice(["", "a", "é", None, "bb"])))
+    return turns + pick.sample(turns, 20)  # repeated rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_conversations(spark, seed):
+    turns = random_turns(seed)
+    wanted = expected(rebuilt(in_order(turns)))
+    assert found(spark, turns) == wanted
+    # Shards of one conversation, and a queue that spills almost every message.
+    assert found(spark, turns, limit=1, room=2) == wanted
+
+
+def test_hot_first_turns_copies_and_a_long_conversation(spark, monkeypatch):
+    """A third of the conversations are one text; one is far longer than a chunk."""
+    monkeypatch.setattr(trie, "CHUNK", 8)
+    turns = [(c, t, "user", f"same {t}") for c in range(120) for t in range(6)]
+    turns += [(c, t, "user", f"same {t}" if t < 3 else f"{c} {t}") for c in range(200, 320) for t in range(5)]
+    turns += [(500, t, "user", f"long {t}") for t in range(300)] + [(501, t, "user", f"long {t}") for t in range(250)]
+    assert found(spark, turns, shared=False) == expected(in_order(turns))
+    assert found(spark, turns) == expected(rebuilt(in_order(turns)))
+
+
+def test_turnless_conversations_null_ids_and_clashing_columns(spark):
+    """Conversation 7 keeps nothing: its base is absent and its turns are fewer than are taken."""
+    turns = [(7, 0, "user", "hi"), (None, 0, "user", "nobody"), (20, None, None, None)]
+    wanted = expected(rebuilt(in_order(turns)))
+    rows = [(*t, 1, "x", 5) for t in turns]
+    extra = spark.createDataFrame(rows, TURNS + ", pos long, key string, depth long")
+    ordered = trie.ordered(extra)
+    conv = F.col("conv_id")
+    again = trie.with_shared_heads(ordered, conv - conv % 5, F.pmod(F.crc32(conv.cast("string")), F.lit(9)), 8)
+    got = trie.prefix_trie(again, ordered.select("conv_id").distinct()).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[:2]) == wanted
+    assert found(spark, []) == []
+
+
+def test_the_queue_gives_rows_by_priority_spilled_or_not():
+    pick = random.Random(4)
+    rows = [(pick.randrange(30), pick.randrange(3), 0, i, i, i) for i in range(2000)]
+    queue = trie.SpillingQueue(64)
+    for row in rows:
+        queue.push(row)
+    assert queue.runs
+    got = []
+    for priority in sorted({r[:3] for r in rows}):
+        here = list(queue.pop(priority))
+        assert sorted(here) == sorted(r for r in rows if r[:3] == priority)
+        got += here
+    assert len(got) == len(rows)
+
+
+def test_ids_that_end_at_one_node_come_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(trie, "IDS", 7)
+    turns = [(c, 0, "user", "same") for c in np.random.default_rng(1).permutation(100).tolist()]
+    assert found(spark, turns, shared=False) == expected(in_order(turns))
