@@ -5,11 +5,11 @@ the frequent phrases of k words form a double-array trie that is broadcast; nump
 states of all text positions at once, word by word, and a bincount of the accepting states gives
 each task's counts, which are summed over the shards. In the same pass positions where a frequent
 phrase of k words and, one word on, another one begin give the candidates of k + 1 words: no other
-phrase can be frequent.
+phrase can be frequent. Their tallies travel as sorted, compressed arrays, not as rows.
 
-A trie holds `phrases` phrases at most. Are there more, they are counted by several tries, one
-pass each, so what is broadcast never grows with the corpus. Word codes are checked to be
-distinct over the whole vocabulary, so that no count mixes two words.
+A trie holds `most` phrases at most. Are there more, they are counted by several tries, one
+pass each, so what is broadcast never grows with the corpus. Codes of words that matter are
+checked to stand for one word each, so that no count mixes two.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,16 +30,22 @@ from millrace.llm.common import checkpoint
 LONGEST = 4
 #: Phrases of one broadcast trie: some 24 bytes each.
 PHRASES = 1 << 19
-#: Distinct words or phrases that a task adds up before it hands them on.
-HELD = 1 << 17
-#: Texts are split into words in slices of about so many characters, cut between words.
+#: Distinct words, and pairs of phrase and next word, that a task adds up before it hands them on.
+HELD, PAIRS = 1 << 19, 1 << 20
+#: Texts are split into words in slices of about so many bytes, cut between words.
 SLICE = 1 << 20
+#: Words of the corpus for each group that tallies of candidates are added up in.
+PER_GROUP = 1 << 21
+#: Accepting states whose counts travel together, and tasks whose counts are added up together.
+STATES, TASKS = 1 << 12, 1 << 10
 #: Copies of a table of counts that a join with hot keys is spread over.
 SALTS = 16
 
-_BREAK = re.compile("[ \t.,;:!?\n\x0b\x0c\r]")
-_PLAIN = {c: chr(c + 32) for c in range(65, 91)} | {9: " "}
-_PLAIN |= {ord(c): " \n " for c in ".,;:!?\n\x0b\x0c\r"}
+_BREAK = re.compile(rb"[ \t.,;:!?\n\x0b\x0c\r]")
+_END = b"."
+_PLAIN = bytes(
+    c + 32 if 65 <= c <= 90 else 32 if c == 9 else _END[0] if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256)
+)
 CODES = [f"c{i}" for i in range(1, LONGEST + 1)]
 
 
@@ -49,22 +56,21 @@ class _Codes(dict):
     """Codes of the words of one language, kept up to a bound; zero for the end of a piece."""
 
     def __init__(self, lang: str, seed: int):
-        self.lang, self.seed = lang, seed
+        self.lang, self.seed = lang.encode("utf-8", "replace") + b"\t", seed
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self["\n"] = 0
+        self[_END] = 0
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > HELD:
             self.clear()
-        code = xxhash.xxh64_intdigest(f"{self.lang}\t{word}".encode("utf-8", "replace"), self.seed)
-        self[word] = code = code or 1
+        self[word] = code = xxhash.xxh64_intdigest(self.lang + word, self.seed) or 1
         return code
 
 
-def slices(text: str) -> Iterator[str]:
+def slices(text: bytes) -> Iterator[bytes]:
     """The text in parts that end where a word ends."""
     at = 0
     while len(text) - at > SLICE:
@@ -76,29 +82,38 @@ def slices(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def words_of(text: str) -> list[str]:
-    """The words of a text in order, with a line feed where a piece ends."""
-    return [w for w in text.translate(_PLAIN).split(" ") if w]
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text in order, with `.` where a piece ends."""
+    # Once they are mapped, no other ASCII blank than the space is left to split at.
+    return text.translate(_PLAIN).replace(_END, b" . ").split()
 
 
 _STAGED = "lang string, word string, code long, n long, codes binary"
 _NAMES = ["lang", "word", "code", "n", "codes"]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True), kind)
+
+
 def _coded(seed: int):
-    """Of each text its codes; of each task its words with their codes and counts."""
+    """Of the texts their codes, some thousand words a row; of each task its words and their counts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books: dict[str, _Codes] = {}
         counts: dict[str, Counter] = {}
 
         def counted() -> pa.RecordBatch:
-            rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items() if w != "\n"]
+            rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items() if w != _END]
             codes = np.array([books[lang][w] for lang, w, _ in rows], np.uint64).view(np.int64)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.string()),
-                    pa.array([r[1] for r in rows], pa.string()),
+                    pa.array([r[1].decode("utf-8", "replace") for r in rows], pa.string()),
                     pa.array(codes),
                     pa.array([r[2] for r in rows], pa.int64()),
                     pa.nulls(len(rows), pa.binary()),
@@ -106,40 +121,49 @@ def _coded(seed: int):
                 _NAMES,
             )
 
+        def coded(arrays: list[np.ndarray]) -> pa.RecordBatch:
+            codes = np.concatenate(arrays)
+            return pa.RecordBatch.from_arrays(
+                [
+                    *[pa.nulls(1, t) for t in (pa.string(), pa.string(), pa.int64())],
+                    pa.array([len(codes)], pa.int64()),
+                    pa.array([_packed(codes)], pa.binary()),
+                ],
+                _NAMES,
+            )
+
+        arrays, held = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = []
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if lang not in books:
-                        if len(books) >= 64:
-                            yield counted()
-                            books.clear()
-                            counts.clear()
-                        books[lang], counts[lang] = _Codes(lang, seed), Counter()
-                    code, arrays = books[lang].__getitem__, []
-                    for piece in slices(text):
-                        words = words_of(piece)
-                        counts[lang].update(words)
-                        arrays.append(np.fromiter(map(code, words), np.uint64, len(words)).tobytes())
-                    found.append(b"".join(arrays))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[pa.nulls(len(found), t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64())],
-                        pa.array(found, pa.binary()),
-                    ],
-                    _NAMES,
-                )
+            for lang, text in zip(batch.column(0), batch.column(1).cast(pa.binary())):
+                lang = lang.as_py()
+                if lang not in books:
+                    if len(books) >= 64:
+                        yield counted()
+                        books.clear()
+                        counts.clear()
+                    books[lang], counts[lang] = _Codes(lang, seed), Counter()
+                code = books[lang].__getitem__
+                for piece in slices(text.as_py()):
+                    words = words_of(piece)
+                    counts[lang].update(words)
+                    arrays.append(np.fromiter(map(code, words), np.uint64, len(words)))
+                    held += len(words) + 1
+                arrays.append(np.zeros(1, np.uint64))
+                if held > SLICE // 4:
+                    yield coded(arrays)
+                    arrays, held = [], 0
                 if sum(map(len, counts.values())) > HELD:
                     yield counted()
                     counts = {lang: Counter() for lang in books}
+        if arrays:
+            yield coded(arrays)
         yield counted()
 
     return work
 
 
-def read_words(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Codes of all texts, and lang, word, code and n of all words."""
+def read_words(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Codes of all texts; lang, word, code and n of words said `least` times; n of each language."""
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -147,11 +171,17 @@ def read_words(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     seed = 0
     while True:
         staged = checkpoint(rows.mapInArrow(_coded(seed), _STAGED))
-        words = staged.where("codes IS NULL").groupBy("lang", "word", "code").agg(F.sum("n").alias("n"))
-        words = checkpoint(words)
-        if words.groupBy("code").count().where("count > 1").isEmpty():
-            return staged.where("codes IS NOT NULL").select("codes"), words
-        seed += 1  # two words of the corpus share a code: once in millions of corpora
+        said = staged.where("codes IS NULL")
+        word = F.struct("lang", "word")
+        words = checkpoint(
+            said.groupBy("code")
+            .agg(F.min(word).alias("w"), F.max(word).alias("other"), F.sum("n").alias("n"))
+            .where(F.col("n") >= least)
+        )
+        if words.where("w <> other").isEmpty():
+            sizes = said.groupBy("lang").agg(F.sum("n").alias("n"))
+            return staged.where("codes IS NOT NULL").select("codes", "n"), words.select("w.*", "code", "n"), sizes
+        seed += 1  # two words share a code: once in millions of corpora
 
 
 # --- the double array ---------------------------------------------------------------------
@@ -258,70 +288,101 @@ class DoubleArray:
 
 # --- one pass per level ---------------------------------------------------------------------
 
+_TALLY = "bucket long, size long, number binary, last binary, n binary"
 
-def _counted(trie, words: int, complete: bool):
-    """Counts of the trie's phrases, and of the phrases one word longer that may be frequent."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: DoubleArray = trie.value
-        total = np.zeros(len(known.phrases), np.int64)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+def _tally(number: np.ndarray, last: np.ndarray, n: np.ndarray | None = None):
+    """Equal pairs of phrase number and next word as one, sorted, with their counts."""
+    codes, dense = np.unique(last, return_inverse=True)
+    key, first, back = np.unique((number << 32) | dense, return_index=True, return_inverse=True)
+    counts = np.bincount(back, n, len(key)).astype(np.int64)
+    return number[first], last[first], counts
 
-        def rows(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            wide = np.zeros((len(codes), LONGEST), np.uint64)
-            wide[:, : codes.shape[1]] = codes
-            k = np.full(len(codes), codes.shape[1])
-            arrays = [k, *wide.view(np.int64).T, n]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(a), pa.int64()) for a in arrays], ["k", *CODES, "n"]
-            )
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            longer = np.concatenate([c for c, _ in held])
-            n = np.concatenate([n for _, n in held])
-            longer, back = np.unique(longer, axis=0, return_inverse=True)
-            return longer, np.bincount(back.ravel(), n, len(longer)).astype(np.int64)
+def _counted(trie, words: int, complete: bool, groups: int):
+    """Counts of the trie's phrases, and tallies of the phrases one word longer that may be frequent."""
+
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        columns = list(zip(*found)) if found else [()] * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "size", "number", "last", "n"]
+        )
 
+    def tallies(number: np.ndarray, last: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        bucket = ((last ^ number.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True])
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            those = order[a:b]
+            found.append(
+                (int(bucket[those[0]]), len(those), _packed(number[those]), _packed(last[those]), _packed(n[those]))
+            )
+        return rows(found)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: DoubleArray = trie.value
+        total = np.zeros(len(known.phrases), np.int64)
+        held: list[tuple] = []
         for batch in batches:
-            column = batch.column(0)
-            for text_codes in _joined(column):
-                symbols = known.symbols(text_codes)
-                found = known.states(symbols, words)
+            for data, size in zip(batch.column(0), batch.column(1).to_pylist()):
+                codes = _unpacked(data.as_py(), size * 8, np.uint64)
+                found = known.states(known.symbols(codes), words)
                 total += np.bincount(found[found >= 0], minlength=len(total))
                 if words == LONGEST:
                     continue
-                last = np.r_[text_codes[words:], np.zeros(words, np.uint64)]
+                last = np.r_[codes[words:], np.zeros(words, np.uint64)][: len(codes)]
                 # One word on another frequent phrase begins; with several tries, any word.
-                goes_on = np.r_[found[1:] >= 0, False] if complete else last[: len(found)] > 0
+                goes_on = np.r_[found[1:] >= 0, False] if complete else last > 0
                 at = np.flatnonzero((found >= 0) & goes_on)
                 if len(at):
-                    pairs = np.stack([found[at].astype(np.uint64), last[at]], 1)
-                    pairs, n = np.unique(pairs, axis=0, return_counts=True)
-                    longer = np.c_[known.phrases[pairs[:, 0].astype(np.int64)], pairs[:, 1]]
-                    held.append((longer, n))
-                if sum(len(n) for _, n in held) > HELD:
-                    held = [merged()]
-                    if len(held[0][1]) > HELD // 2:
-                        yield rows(*held.pop())
+                    held.append(_tally(found[at], last[at]))
+                if sum(len(h[0]) for h in held) > PAIRS:
+                    held = [_tally(*map(np.concatenate, zip(*held)))]
+                    if len(held[0][0]) > PAIRS // 2:
+                        yield tallies(*held.pop())
         if held:
-            yield rows(*merged())
-        there = np.flatnonzero(total)
-        yield rows(known.phrases[there], total[there])
+            yield tallies(*_tally(*map(np.concatenate, zip(*held))))
+        share = TaskContext.get().partitionId() // TASKS
+        chunks = -(-len(total) // STATES)
+        yield rows(
+            [
+                (-1 - (share * chunks + c), len(part), None, None, _packed(part))
+                for c in range(chunks)
+                if (part := total[c * STATES : (c + 1) * STATES]).any()
+            ]
+        )
 
     return work
 
 
-def _joined(column: pa.Array) -> Iterator[np.ndarray]:
-    """Codes of several texts in one array, a zero after each; a longer text by itself."""
-    parts, room = [], SLICE
-    for value in column:
-        parts += [np.frombuffer(value.as_py(), np.uint64), np.zeros(1, np.uint64)]
-        room -= len(parts[-2]) + 1
-        if room < 0:
-            yield np.concatenate(parts)
-            parts, room = [], SLICE
-    if parts:
-        yield np.concatenate(parts)
+def _added(trie, words: int, least: int):
+    """Add up the tallies of a bucket, or the counts of some states over some tasks."""
+
+    def work(key: tuple, blobs: pa.Table) -> pa.Table:
+        known: DoubleArray = trie.value
+        bucket, sizes = key[0].as_py(), blobs.column("size").to_pylist()
+        column = lambda name, kind: np.concatenate(
+            [_unpacked(b.as_py(), 8 * size, kind) for b, size in zip(blobs.column(name), sizes)]
+        )
+        n = column("n", np.int64)
+        if bucket >= 0:
+            number, last, n = _tally(column("number", np.int64), column("last", np.uint64), n)
+            kept = n >= least
+            codes, n = np.c_[known.phrases[number[kept]], last[kept]], n[kept]
+        else:
+            chunks = -(-len(known.phrases) // STATES)
+            first = (-1 - bucket) % chunks * STATES
+            n = n.reshape(len(sizes), -1).sum(0)
+            there = np.flatnonzero(n)
+            codes, n = known.phrases[first + there], n[there]
+        wide = np.zeros((len(codes), LONGEST), np.uint64)
+        wide[:, : codes.shape[1]] = codes
+        arrays = [np.full(len(codes), codes.shape[1]), *wide.view(np.int64).T, n]
+        return pa.table([pa.array(np.ascontiguousarray(a), pa.int64()) for a in arrays], ["k", *CODES, "f"])
+
+    return work
 
 
 def _blocks(phrases: DataFrame, words: int, most: int) -> Iterator[tuple[np.ndarray, bool]]:
@@ -339,20 +400,21 @@ def _blocks(phrases: DataFrame, words: int, most: int) -> Iterator[tuple[np.ndar
 
 
 def phrase_counts(
-    codes: DataFrame, words: DataFrame, least: int, most: int = PHRASES
+    codes: DataFrame, words: DataFrame, least: int, groups: int, most: int = PHRASES
 ) -> DataFrame:
     """k, c1 to c4 and f of every phrase of up to four words that occurs `least` times or more."""
     spark: SparkSession = codes.sparkSession
-    schema = ", ".join(f"{c} long" for c in ["k", *CODES, "n"])
-    frequent = words.where(F.col("n") >= least).select(F.col("code").alias("c1"))
+    schema = ", ".join(f"{c} long" for c in ["k", *CODES, "f"])
+    frequent = words.select(F.col("code").alias("c1"))
     levels = []
     for k in range(1, LONGEST + 1):
         level, longer = [], []
         for phrases, complete in _blocks(frequent, k, most):
             trie = spark.sparkContext.broadcast(DoubleArray(phrases))
-            counted = codes.mapInArrow(_counted(trie, k, complete), schema)
+            counted = codes.mapInArrow(_counted(trie, k, complete, groups), _TALLY)
+            added = counted.groupBy("bucket").applyInArrow(_added(trie, k, least), schema)
             summed = checkpoint(
-                counted.groupBy("k", *CODES).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+                added.groupBy("k", *CODES).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
             )
             trie.unpersist()
             level.append(summed.where(F.col("k") == k))
@@ -364,7 +426,7 @@ def phrase_counts(
         for more in longer[1:]:
             frequent = frequent.unionByName(more)
     if not levels:
-        return spark.createDataFrame([], schema.replace("n long", "f long"))
+        return spark.createDataFrame([], schema)
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
@@ -396,8 +458,9 @@ def collocations(
     text as empty; repeated rows count each. A language without such phrases, and an empty table,
     give no rows.
     """
-    codes, words = read_words(docs)
-    phrases = phrase_counts(codes, words, least, most)
+    codes, words, sizes = read_words(docs, least)
+    groups = 1 + (codes.agg(F.sum("n")).first()[0] or 0) // PER_GROUP
+    phrases = phrase_counts(codes, words, least, groups, most)
     key = F.slice(F.array(*CODES), F.lit(1), F.col("k").cast("int"))
     counts = checkpoint(phrases.select("k", key.alias("key"), "f"))
     candidates = counts.where("k > 1")
@@ -428,7 +491,7 @@ def collocations(
     score = F.expr(f"cast(cast({scale} AS decimal(20, 0)) * a div (l + r) AS long)")
     best = both.groupBy("key", "a").agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("b"))
 
-    named = _salted(words.where(F.col("n") >= least).select("lang", "word", F.col("code")))
+    named = _salted(words.select("lang", "word", "code"))
     spelt = (
         best.select("key", salt.alias("salt"), F.posexplode("key").alias("at", "code"))
         .join(named, ["code", "salt"])
@@ -450,7 +513,6 @@ def collocations(
     ranked = short.where(F.col("i") <= first).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
     )
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.where(F.col("rank") <= first).join(sizes, "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )

@@ -70,7 +70,7 @@ def test_against_plain_python(spark, seed):
 
 def test_many_small_tries_slices_and_flushes_change_nothing(spark, monkeypatch):
     rows = corpus(5)
-    for name, value in (("HELD", 4), ("SLICE", 16)):
+    for name, value in (("HELD", 4), ("PAIRS", 6), ("SLICE", 16), ("PER_GROUP", 300), ("STATES", 3), ("TASKS", 1)):
         monkeypatch.setattr(c, name, value)
     assert mined(spark, rows, least=8, most=25) == plain(rows, 8)
 
@@ -106,7 +106,8 @@ def test_words_that_share_a_code_are_told_apart(spark, monkeypatch):
         return batch.set_column(2, "code", __import__("pyarrow").array([1 if v is not None else None for v in batch.column(2).to_pylist()], "int64"))
 
     monkeypatch.setattr(c, "_coded", poor)
-    codes, words = c.read_words(docs)
+    codes, words, sizes = c.read_words(docs, 3)
+    assert sorted((r.word, r.n) for r in words.collect()) == [("a", 6), ("b", 6), ("c", 3)]
     assert words.select("code").distinct().count() == 3
 
 
