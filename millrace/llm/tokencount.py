@@ -54,6 +54,10 @@ def _unassigned() -> re.Pattern:
     return re.compile("[" + "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in ranges if a is not None) + "]")
 
 
+class _Odd(Exception):
+    """A character that another Unicode version may class otherwise."""
+
+
 class Lengths(dict):
     """Lengths in tokens by pre-token: the frequent ones, and a bounded cache of others."""
 
@@ -62,6 +66,8 @@ class Lengths(dict):
         self.name, self.frequent, self.room = name, frequent, len(frequent) + cached
 
     def __missing__(self, piece: str) -> int:
+        if not piece.isascii() and _unassigned().search(piece):
+            raise _Odd  # such a piece is in no table, so it is always met here
         # Not by way of the library's own pattern, which a million blanks in a row are too much for.
         n = len(_encoding(self.name)._encode_single_piece(piece))
         if len(piece) <= LONGEST:
@@ -73,8 +79,12 @@ class Lengths(dict):
 
     def of(self, text: str) -> int:
         """Tokens of a whole text. Added tokens in it count one each, as the library has it."""
-        if not text.isascii() and _unassigned().search(text):
+        try:
+            return self._count(text)
+        except _Odd:
             return len(_reference(self.name).encode(text, add_special_tokens=False).ids)
+
+    def _count(self, text: str) -> int:
         added = _encoding(self.name)._special_tokens
         parts = [text]
         if any(token in text for token in added):
@@ -118,8 +128,13 @@ def frequent_lengths(docs: DataFrame, name: str, entries: int = FREQUENT) -> dic
     total: Counter = Counter()
     for row in texts.mapInArrow(seen, "piece string, n long").collect():  # TASKS * TASK_ENTRIES rows
         total[row["piece"]] += row["n"]
-    lengths = Lengths(name, {})
-    return {piece: lengths[piece] for piece, _ in total.most_common(entries)}
+    lengths, found = Lengths(name, {}), {}
+    for piece, _ in total.most_common(entries):
+        try:
+            found[piece] = lengths[piece]
+        except _Odd:
+            continue
+    return found
 
 
 def token_counts(docs: DataFrame, name: str = "byte_bpe_50k", entries: int = FREQUENT) -> DataFrame:
