@@ -894,6 +894,183 @@ def reconcile_gate(spark, sf_dir):
     return m.reconcile_lines(m.reconcile(orders, written, ["year"], ["price"]), ["year"])
 
 
+# --- tables that follow their source ------------------------------------------------------------
+
+VIEW = {
+    "group_by": ["year", "priority"],
+    "measures": {
+        "orders": "count",
+        "total": ("sum", "price"),
+        "mean": ("avg", "price"),
+        "least": ("min", "price"),
+        "most": ("max", "price"),
+    },
+}
+#: Of 1997's orders every seventh is replaced: another priority, twice the price.
+CHANGED = "year(o_orderdate) = 1997 AND o_orderkey % 7 = 0"
+
+
+@query(
+    f"""WITH o AS (SELECT year(o_orderdate) AS y, {CHANGED} AS c, o_orderpriority AS p,
+      CAST(o_totalprice AS DECIMAL(18, 2)) AS price FROM orders)
+    SELECT CAST(y AS INTEGER) AS "year", CASE WHEN c THEN '0-NEW' ELSE p END AS priority, count(*) AS orders,
+      CAST(sum(CASE WHEN c THEN 2 * price ELSE price END) AS DOUBLE) AS total,
+      CAST(sum(CASE WHEN c THEN 2 * price ELSE price END) AS DOUBLE) / count(*) AS mean,
+      CAST(min(CASE WHEN c THEN 2 * price ELSE price END) AS DOUBLE) AS least,
+      CAST(max(CASE WHEN c THEN 2 * price ELSE price END) AS DOUBLE) AS most
+    FROM o GROUP BY ALL"""
+)
+def view_delta(spark, sf_dir):
+    """A kept aggregate after two changes: every tenth order comes later, some are replaced."""
+    path = f"{m.new_folder(spark, 'views')}/orders"
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.expr(CHANGED).alias("changed"),
+        F.year("o_orderdate").alias("year"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+    )
+    price = F.when(F.col("changed"), F.col("price") * 2).otherwise(F.col("price"))
+    after = orders.withColumns(
+        {
+            "priority": F.when(F.col("changed"), "0-NEW").otherwise(F.col("priority")),
+            "price": price.cast("decimal(18,2)"),
+        }
+    )
+    late = F.col("o_orderkey") % 10 == 0
+    m.create_view(orders.filter(~late), path, **VIEW, partition_by=["year"])
+    m.apply_delta(path, **VIEW, added=orders.filter(late), partition_by=["year"], run_id="late")
+    m.apply_delta(
+        path,
+        **VIEW,
+        added=after.filter("changed"),
+        removed=orders.filter("changed"),
+        source=after,
+        partition_by=["year"],
+        run_id="replaced",
+    )
+    view = m.read_view(spark, path, **VIEW)
+    return view.withColumns({c: F.col(c).cast("double") for c in ("total", "least", "most")})
+
+
+@query(
+    """WITH c AS (SELECT o_custkey AS k, o_orderdate AS t, max(o_orderpriority) AS p
+      FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL),
+    h AS (SELECT k, t, p FROM (SELECT *, lag(p) OVER (PARTITION BY k ORDER BY t) AS q FROM c)
+      WHERE q IS DISTINCT FROM p)
+    SELECT o_orderkey, o_custkey, o_orderdate, p AS priority, t AS since
+    FROM orders ASOF LEFT JOIN h ON o_custkey = k AND o_orderdate >= t"""
+)
+def fact_as_of(spark, sf_dir):
+    """Orders with the priority their customer had at the time; priorities change by every third order."""
+    orders = table(spark, sf_dir, "orders")
+    changes = orders.filter("o_orderkey % 3 = 0").withColumnRenamed("o_orderpriority", "priority")
+    history = m.version_history(changes, ["o_custkey"], "o_orderdate", ["priority"])
+    history = history.withColumn("since", F.col("valid_from"))
+    facts = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return m.as_of_join(facts, history, ["o_custkey"], "o_orderdate", columns=["priority", "since"])
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+    FROM orders WHERE o_orderkey % 11 <> 0 OR o_orderkey % 5 = 0
+    UNION ALL SELECT o_orderkey + 10000000, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 13 = 0"""
+)
+def cdc_merge(spark, sf_dir):
+    """Orders after two lots of changes: updates and rows that come too late, then inserts and
+    deletions, of which those older than an update do nothing."""
+    path = f"{m.new_folder(spark, 'kept')}/orders"
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year")
+    )
+    rule = {"key": ["o_orderkey"], "sequence": "seq", "partition_by": ["year"]}
+
+    def changes(where, operation, seq, **columns):
+        rows = orders.filter(where).withColumns({n: F.expr(e) for n, e in columns.items()})
+        return rows.withColumns({"operation": F.lit(operation), "seq": F.lit(seq)})
+
+    m.apply_changes(changes("true", "insert", 1), path, **rule)
+    late = changes("o_orderkey % 7 = 0", "update", 0, o_orderstatus="'L'")
+    m.apply_changes(changes("o_orderkey % 5 = 0", "update", 3, o_orderstatus="'X'").union(late), path, **rule)
+    more = changes("o_orderkey % 13 = 0", "insert", 1, o_orderkey="o_orderkey + 10000000")
+    m.apply_changes(changes("o_orderkey % 11 = 0", "delete", 2).union(more), path, **rule)
+    return m.read_kept(spark, path).drop("year", "seq")
+
+
+@query(
+    """SELECT o_orderkey, 'missing' AS status FROM orders WHERE o_orderkey % 101 = 0
+    UNION ALL SELECT o_orderkey, 'changed' FROM orders WHERE o_orderkey % 89 = 0 AND o_orderkey % 101 <> 0
+    UNION ALL SELECT o_orderkey + 10000000, 'added' FROM orders WHERE o_orderkey % 97 = 0"""
+)
+def reconcile_rows(spark, sf_dir):
+    """Orders against a copy that lost some, has others besides, and other prices for some."""
+    orders = table(spark, sf_dir, "orders")
+    copy = orders.filter("o_orderkey % 101 <> 0").withColumn(
+        "o_totalprice", F.expr("CASE WHEN o_orderkey % 89 = 0 THEN o_totalprice + 1 ELSE o_totalprice END")
+    )
+    more = orders.filter("o_orderkey % 97 = 0").withColumn("o_orderkey", F.col("o_orderkey") + 10000000)
+    return m.reconcile_rows(orders, copy.unionByName(more), ["o_orderkey"])
+
+
+@query("SELECT * FROM events")
+def stream_landing(spark, sf_dir):
+    """Events that arrive in three lots, each landed twice, as a stream that leaves out duplicates."""
+    events = table(spark, sf_dir, "events")
+    root = m.new_folder(spark, "stream")
+    third = events.agg(F.expr("percentile_approx(unix_micros(cast(ts AS timestamp)), array(0.33, 0.66), 100)"))
+    low, high = third.first()[0]
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for lot in (at <= low, (at > low) & (at <= high), at > high):
+        for _ in range(2):
+            m.write_table(events.filter(lot), f"{root}/raw", mode="append")
+            m.land_stream(
+                spark, f"{root}/raw", events.schema, f"{root}/events", f"{root}/progress", ["event_id"], "ts", "60 days"
+            )
+    return m.read_table(spark, f"{root}/events").drop("batch_id")
+
+
+@query(
+    """SELECT 'user_id' AS "column", count(*) AS row_count, count(*) - count(user_id) AS null_count,
+      CAST(min(user_id) AS VARCHAR) AS min_value, CAST(max(user_id) AS VARCHAR) AS max_value FROM events
+    UNION ALL SELECT 'value', count(*), count(*) - count(value), CAST(min(value) AS VARCHAR),
+      CAST(max(value) AS VARCHAR) FROM events
+    UNION ALL SELECT 'props', count(*), count(*) - count(props), min(props), max(props) FROM events"""
+)
+def profile_merged(spark, sf_dir):
+    """Profiles of events kept by type; the last type is appended and only it is profiled anew."""
+    events, columns = table(spark, sf_dir, "events"), ["user_id", "value", "props"]
+    path = f"{m.new_folder(spark, 'profiles')}/events"
+    m.refresh_profiles(events.filter("event_type <> 'error'"), path, ["event_type"], columns)
+    m.refresh_profiles(events.filter("event_type = 'error'"), path, ["event_type"], columns)
+    return m.merged_profile(m.read_profiles(spark, path), columns).drop("distinct_count")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS suppkey,
+      s_name FROM lineitem LEFT JOIN supplier
+      ON s_suppkey = CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END"""
+)
+def enrich_hot(spark, sf_dir):
+    """Lines with the name of their supplier, where one supplier has a third of all lines."""
+    key = F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", key.alias("suppkey"))
+    return m.enrich_hot(lines, table(spark, sf_dir, "supplier"), {"suppkey": "s_suppkey"}, ["s_name"])
+
+
+@query(
+    """WITH t AS (SELECT user_id, ts, count(*) FILTER (event_type = 'error') AS n FROM events GROUP BY ALL),
+    i AS (SELECT *, lead(ts) OVER w AS after, sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) OVER w AS island
+      FROM t WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+    SELECT user_id, min(ts) AS started, max(ts) AS ended, CAST(sum(n) AS BIGINT) AS failures,
+      CASE WHEN count(after) = count(*) THEN max(after) END AS recovered_at,
+      date_sub('second', min(ts), CASE WHEN count(after) = count(*) THEN max(after) END) AS seconds_to_recover
+    FROM i WHERE n > 0 GROUP BY user_id, island"""
+)
+def failure_episodes(spark, sf_dir):
+    """Runs of errors of each user, and the seconds until an event without one."""
+    return m.failure_episodes(table(spark, sf_dir, "events"), ["user_id"], "ts", F.col("event_type") == "error")
+
+
 # --- driver contract ------------------------------------------------------------------------
 
 

@@ -3,3 +3,4 @@
 from millrace.operators import *  # noqa: F401,F403
 from millrace.plans import *  # noqa: F401,F403
 from millrace.sources import *  # noqa: F401,F403
+from millrace.streaming import *  # noqa: F401,F403

@@ -7,6 +7,8 @@ from millrace.operators.cleanse import (
     trim_whitespace,
 )
 from millrace.operators.dedup import hash_dedup, remove_duplicates, window_dedup
+from millrace.operators.differences import bucket_checksums, reconcile_rows
+from millrace.operators.history import as_of_join, failure_episodes, version_history
 from millrace.operators.ledger import (
     append_log_events,
     append_run_events,
@@ -19,7 +21,14 @@ from millrace.operators.ledger import (
     run_metrics,
     run_state,
 )
-from millrace.operators.lookup import enrich
+from millrace.operators.lookup import enrich, enrich_hot, hot_keys
+from millrace.operators.profiles import (
+    merged_profile,
+    partition_profiles,
+    profile_gate,
+    read_profiles,
+    refresh_profiles,
+)
 from millrace.operators.quality import (
     failed_checks,
     null_rates,
@@ -43,6 +52,8 @@ from millrace.operators.schema import (
 __all__ = [
     "append_log_events",
     "append_run_events",
+    "as_of_join",
+    "bucket_checksums",
     "cast_to_schema",
     "contract_gate",
     "contract_violations",
@@ -50,20 +61,29 @@ __all__ = [
     "drift_report",
     "drop_empty_rows",
     "enrich",
+    "enrich_hot",
     "failed_checks",
+    "failure_episodes",
     "hash_dedup",
+    "hot_keys",
     "incremental_filter",
     "last_success",
     "load_fields",
     "logged_events",
+    "merged_profile",
     "normalize_column_names",
     "null_rates",
+    "partition_profiles",
     "profile",
+    "profile_gate",
     "quality_gate",
     "read_event_log",
     "read_ledger",
+    "read_profiles",
     "reconcile",
     "reconcile_lines",
+    "reconcile_rows",
+    "refresh_profiles",
     "remove_duplicates",
     "row_count_check",
     "run_intervals",
@@ -75,5 +95,6 @@ __all__ = [
     "standardize_nulls",
     "trim_whitespace",
     "uniqueness",
+    "version_history",
     "window_dedup",
 ]

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import pick, quoted, unused_name
 from millrace.operators.dedup import remove_duplicates, window_dedup
@@ -68,3 +69,69 @@ def enrich(
     )
     condition = [pick(df, mine) == quoted(names[theirs]) for mine, theirs in pairs.items()]
     return df.join(side, condition, "left").drop(*names.values())
+
+
+#: Keys of the sketch, hot keys reported at most, and parts a hot key is dealt over.
+TRACKED, HOT, PARTS = 4096, 64, 32
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 1 / 128) -> list[int]:
+    """Hashes of the keys that hold more than `share` of the rows, from a sketch of bounded size.
+
+    The sketch follows `TRACKED` keys per task and errs by a few rows in as many; it costs one scan of
+    the key columns. Null keys are hot keys like others. At most `HOT` are reported.
+    """
+    found = df.select(F.xxhash64(*[pick(df, k) for k in keys]).alias("h")).agg(
+        F.expr(f"approx_top_k(h, {HOT}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")
+    )
+    row = found.first()
+    return sorted(t["item"] for t in row["top"] or [] if t["count"] > share * row["n"])
+
+
+def enrich_hot(
+    df: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str] | Mapping[str, str],
+    columns: Sequence[str] | None = None,
+    order_by: str | Sequence[str] | None = None,
+    unique: bool = False,
+    share: float = 1 / 128,
+    parts: int = PARTS,
+) -> DataFrame:
+    """`enrich`, with the rows of hot keys dealt over `parts` tasks by the join itself.
+
+    It needs no setting of the cluster and holds where several lookups use one key in a row. Hot
+    keys are found by `hot_keys`; their rows get one of `parts` numbers, all others 0, and their
+    lookup rows, `HOT` at most, are copied for each number. Which rows go where affects
+    no result: a key that the sketch misses is joined as any other.
+    """
+    pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
+    if not pairs:
+        raise ValueError("enrich needs key columns")
+    keys = list(pairs.values())
+    added = [c for c in lookup.columns if c not in keys] if columns is None else list(columns)
+    hot = hot_keys(df, list(pairs), share)
+    if not hot:
+        return enrich(df, lookup, on, added, order_by, unique)
+    ranked = [order_by] if isinstance(order_by, str) else list(order_by or [])
+    needed = list(dict.fromkeys([*keys, *added, *([] if unique else ranked)]))
+    side = lookup.select(*[pick(lookup, c).alias(c) for c in needed])
+    if not unique:
+        side = one_per_key(side, keys, ranked)
+    salt = unused_name(df, unused_name(lookup, "__salt"))
+    # The same row gets the same number when a task is run again; equal rows of different tasks
+    # need not share one.
+    spread = F.pmod(F.xxhash64(*_hashable(df), F.spark_partition_id()), F.lit(parts)).cast("int")
+    mine = F.xxhash64(*[pick(df, c) for c in pairs]).isin(hot)
+    theirs = F.xxhash64(*[quoted(k) for k in keys]).isin(hot)
+    copies = F.when(theirs, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    dealt = df.withColumn(salt, F.when(mine, spread).otherwise(F.lit(0)))
+    side = side.withColumn(salt, F.explode(copies))
+    return enrich(dealt, side, {**pairs, salt: salt}, added, unique=True).drop(salt)
+
+
+def _hashable(df: DataFrame) -> list:
+    return [
+        F.to_json(F.struct(quoted(f.name))) if isinstance(f.dataType, (T.MapType, T.VariantType)) else quoted(f.name)
+        for f in df.schema
+    ]

@@ -1,3 +1,4 @@
+from millrace.plans.changes import apply_changes, read_kept
 from millrace.plans.curated import Link, aggregate_view, dimension, fact_table, refresh_view
 from millrace.plans.staging import (
     PipelineRun,
@@ -7,6 +8,7 @@ from millrace.plans.staging import (
     run_pipeline,
     transform,
 )
+from millrace.plans.views import apply_delta, create_view, read_view
 
 __all__ = [
     "Link",
@@ -15,8 +17,13 @@ __all__ = [
     "RunConflictError",
     "SchemaDriftError",
     "aggregate_view",
+    "apply_changes",
+    "apply_delta",
+    "create_view",
     "dimension",
     "fact_table",
+    "read_kept",
+    "read_view",
     "refresh_view",
     "run_pipeline",
     "transform",
