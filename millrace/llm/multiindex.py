@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import checkpoint
 from millrace.llm.components import components
-from millrace.llm.vectors import finite, matrix, of_common_length
+from millrace.llm.vectors import finite, length, matrix
 
 COSINE = 0.95
 #: Vectors the codebooks and the traversal's length are fitted on at most, by smallest hash.
@@ -36,6 +36,9 @@ SAMPLE = 4096
 PER_CELL = 64
 #: Codes of a half at most.
 CODES = 256
+#: Lengths of vectors that have codebooks of their own, the commonest first; those of any other
+#: length share one cell, where blocks of them are compared with all.
+LENGTHS = 16
 #: Share of sampled neighbours, at exactly the wanted cosine, whose cell is met from one side.
 RECALL = 0.995
 #: Vectors of a block.
@@ -124,17 +127,36 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def _visit(shared):
+    """Cells to visit; vectors of a length without an index all lie in cell 0 of it."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["rep", "weight", "size", "embedding"]
         for batch in batches:
-            if batch.num_rows:
-                visits = shared.value.visits(unit(matrix(batch.column("embedding"))))
-                cells = pa.array(visits, pa.list_(pa.int32()))
-                columns = [batch.column(c) for c in ("rep", "weight", "embedding")]
-                yield pa.RecordBatch.from_arrays([*columns, cells], ["rep", "weight", "embedding", "cells"])
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                index = shared.value.get(int(size))
+                x = unit(matrix(part.column("embedding")))
+                cells = pa.array(index.visits(x) if index else [[0]] * len(x), pa.list_(pa.int32()))
+                columns = [part.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, cells], [*names, "cells"])
 
     return work
 
 
+def _indexes(groups: DataFrame, cosine: float) -> dict[int, MultiIndex]:
+    """An index for each of the commonest lengths that needs more than one cell."""
+    counts = groups.groupBy("size").count().where(F.col("count") >= 4 * PER_CELL)
+    found = {}
+    for size, count in counts.orderBy(F.desc("count"), "size").limit(LENGTHS).collect():
+        own = groups.where(F.col("size") == size).select("rep", "embedding", F.xxhash64("rep").alias("h"))
+        if count > 4 * SAMPLE:  # the smallest hashes lie below this one; no task sorts more than it needs
+            own = own.where(F.col("h") < F.lit(int(-(2**63) + 2**64 * (2 * SAMPLE / count))))
+        sample = own.orderBy("h", "rep").limit(SAMPLE).select("embedding").toArrow()
+        found[size] = MultiIndex(unit(matrix(sample.column("embedding"))), count, cosine)
+    return found
+
+
 def _compare(cosine: float):
     """Compare the visitors of a block with its residents.
 
@@ -187,51 +209,51 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of `vectors` (vec_id, embedding).
 
     n_links is the number of other vec_ids at this cosine or more, component_id the smallest
-    vec_id reachable over links. A vector that is null, zero, holds a null or non-finite component or
-    has another length than most has no links, and neither has one without vec_id, whose
-    component is null and which is kept. Equal rows count once; rows of one vec_id are one
+    vec_id reachable over links. Vectors of different lengths are not linked. A vector that is null,
+    zero or holds a null or non-finite component has no links, and neither has one without vec_id,
+    whose component is null and which is kept. Equal rows count once; rows of one vec_id are one
     vertex. Other columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
-    good = of_common_length(finite(vectors)).where(F.exists("embedding", lambda x: x != 0)).distinct()
+    good = finite(vectors).where(F.exists("embedding", lambda x: x != 0)).distinct()
     groups = checkpoint(
-        good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("vec_id").alias("weight"))
+        good.groupBy("embedding")
+        .agg(F.min("vec_id").alias("rep"), F.count("vec_id").alias("weight"))
+        .withColumn("size", length())
     )
     member = good.join(groups, "embedding").select("vec_id", "rep", "weight")
 
-    sample = groups.select("rep", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).toArrow()
-    if sample.num_rows:
-        index = MultiIndex(unit(matrix(sample.column("embedding"))), groups.count(), cosine)
-    else:
-        index = None
     kind = groups.schema["embedding"].dataType.simpleString()
     visits = checkpoint(
-        groups.mapInArrow(
-            _visit(spark.sparkContext.broadcast(index)),
-            f"rep long, weight long, embedding {kind}, cells array<int>",
+        groups.select("rep", "weight", "size", "embedding").mapInArrow(
+            _visit(spark.sparkContext.broadcast(_indexes(groups, cosine))),
+            f"rep long, weight long, size int, embedding {kind}, cells array<int>",
         )
     )
     home = F.col("cells")[0]
+    place = ["size", "cell"]
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    residents = visits.groupBy(home.alias("cell")).agg(F.count("*").alias("n"))
-    guests = visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("m"))
-    cells = residents.join(guests, "cell").select("cell", blocks("n").alias("rows"), blocks("m").alias("columns"))
+    residents = visits.groupBy("size", home.alias("cell")).agg(F.count("*").alias("n"))
+    guests = visits.select("size", F.explode("cells").alias("cell")).groupBy(*place).agg(F.count("*").alias("m"))
+    cells = residents.join(guests, place).select(*place, blocks("n").alias("rows"), blocks("m").alias("columns"))
     of = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     shown = ["rep", "weight", "embedding", "home", "cells", "resident"]
     stay = (
         visits.withColumns({"cell": home, "home": home, "resident": F.lit(True)})
-        .join(cells, "cell")
-        .select("cell", of("rows").alias("row"), all_of("columns").alias("column"), *shown)
+        .join(cells, place)
+        .select(*place, of("rows").alias("row"), all_of("columns").alias("column"), *shown)
     )
     come = (
-        visits.select("rep", "weight", "embedding", home.alias("home"), F.explode("cells").alias("cell"))
+        visits.select("rep", "weight", "size", "embedding", home.alias("home"), F.explode("cells").alias("cell"))
         .withColumns({"cells": F.array().cast("array<int>"), "resident": F.lit(False)})
-        .join(cells, "cell")
-        .select("cell", all_of("rows").alias("row"), of("columns").alias("column"), *shown)
+        .join(cells, place)
+        .select(*place, all_of("rows").alias("row"), of("columns").alias("column"), *shown)
     )
     met = checkpoint(
-        stay.union(come).groupBy("cell", "row", "column").applyInArrow(_compare(cosine), "a long, b long, n long")
+        stay.union(come)
+        .groupBy(*place, "row", "column")
+        .applyInArrow(_compare(cosine), "a long, b long, n long")
     )
     counts = met.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     joined = components(met.select("a", "b")).withColumnRenamed("id", "rep")

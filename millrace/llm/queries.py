@@ -61,8 +61,9 @@ def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
       WHERE vec_id IS NOT NULL AND len(embedding) > 0
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
-      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+      SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_dot_product(q.e, c.e) AS BIGINT)) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+      GROUP BY q.vec_id, c.vec_id
     )
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
       AS INTEGER) AS rank, vec_id, score
@@ -282,7 +283,8 @@ def op12_two_tier_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH pieces AS (
       SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
-]')) AS t
+
+]')) AS t
       FROM documents
     ), split AS (
       SELECT lang, list_filter(regexp_split_to_array(t, '[ 	]+'), lambda x: x <> '') AS ws FROM pieces

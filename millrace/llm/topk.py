@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import checkpoint
-from millrace.llm.vectors import finite, matrix, of_common_length
+from millrace.llm.vectors import finite, length, matrix
 
 K = 5
 #: A component x becomes floor(SCALE * x).
@@ -105,25 +105,30 @@ def top_k(vectors: DataFrame, every: int, k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for each query.
 
     Queries are the rows of `vectors` (vec_id, embedding) whose vec_id is divisible by `every`,
-    candidates all rows of another vec_id; ties go to the smaller vec_id. A vector that is null,
-    empty, holds a null or non-finite component, has another length than most or no vec_id takes
-    no part. Equal rows count once, and of several vectors of one vec_id the better score
-    does. Components are taken to be below 2^40 in size. Other columns are ignored; an empty
+    candidates all rows of another vec_id and of the query's length; ties go to the smaller vec_id.
+    A vector that is null, empty, holds a null or non-finite component or has no vec_id takes no
+    part. Equal rows count once, and of several vectors of one vec_id the better score does, on
+    either side. Components are taken to be below 2^40 in size. Other columns are ignored; an empty
     table gives no rows.
     """
-    good = checkpoint(of_common_length(finite(vectors)).distinct())
-    asked = good.where(F.col("vec_id") % every == 0)
-    count = good.agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
-    row_blocks, query_blocks = -(-count["n"] // ROWS) or 1, -(-count["q"] // QUERIES) or 1
-    number = lambda salt, blocks: F.pmod(F.xxhash64("vec_id", "embedding", F.lit(salt)), F.lit(blocks)).cast("int")
-    each = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    good = checkpoint(finite(vectors).distinct().withColumn("size", length()))
+    asks = F.col("vec_id") % every == 0
+    blocks = lambda n, block: F.greatest(F.ceil(n / block), F.lit(1)).cast("int")
+    sizes = good.groupBy("size").agg(
+        blocks(F.count(F.lit(1)), ROWS).alias("rows"), blocks(F.count_if(asks), QUERIES).alias("queries")
+    )
+    good = good.join(F.broadcast(sizes), "size")  # one row a length
+    number = lambda salt, n: F.pmod(F.xxhash64("vec_id", "embedding", F.lit(salt)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rows = good.select(
-        number(0, row_blocks).alias("r"), each(query_blocks).alias("q"), F.lit(False).alias("asks"), "vec_id", "embedding"
+        "size", number(0, "rows").alias("r"), each("queries").alias("q"), F.lit(False).alias("asks"), "vec_id", "embedding"
+    )
+    queries = good.where(asks).select(
+        "size", each("rows").alias("r"), number(1, "queries").alias("q"), F.lit(True).alias("asks"), "vec_id", "embedding"
     )
-    queries = asked.select(
-        each(row_blocks).alias("r"), number(1, query_blocks).alias("q"), F.lit(True).alias("asks"), "vec_id", "embedding"
+    by_block = rows.union(queries).groupBy("size", "r", "q").applyInArrow(
+        _search(k), "query_id long, vec_id long, score long"
     )
-    by_block = rows.union(queries).groupBy("r", "q").applyInArrow(_search(k), "query_id long, vec_id long, score long")
     best = by_block.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

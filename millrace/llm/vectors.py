@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,11 +17,13 @@ def finite(vectors: DataFrame) -> DataFrame:
     )
 
 
-def of_common_length(vectors: DataFrame) -> DataFrame:
-    """The vectors of the commonest length, the longer one where two are as common."""
-    sizes = vectors.groupBy(F.size("embedding").alias("size")).count()
-    common = sizes.orderBy(F.desc("count"), F.desc("size")).first()
-    return vectors.where(F.size("embedding") == (common["size"] if common else 0))
+def length() -> Column:
+    """The number of components; vectors are compared with those of their own length only.
+
+    A table holds few lengths: L of them take L * (L + 1) / 2 components at least, so a row per
+    length may be broadcast, being at most the square root of twice the components.
+    """
+    return F.size("embedding")
 
 
 def matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:

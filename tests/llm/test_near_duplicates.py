@@ -28,10 +28,10 @@ def closure(vertices, links):
 
 def test_components(spark):
     graphs = [
-        [(i, i + 1) for i in range(60)],  # a chain in the order of its numbers
-        [(i, i - 1) for i in range(40, 0, -1)] + [(i, i) for i in range(5)],
+        [(i, i + 1) for i in range(300)],  # a chain in the order of its numbers
+        [(i, i - 1) for i in range(300, 0, -1)] + [(i, i) for i in range(5)],
         [(0, i) for i in range(1, 500)] + [(7, 7), (7, 0), (0, 7)],  # a star, loops, both directions
-        [(i, (i * 7 + 3) % 200) for i in range(200) if i % 5],
+        [(i, (i * 7 + 3) % 400) for i in range(400) if i % 5],
     ]
     links = [(a + 1000 * g, b + 1000 * g) for g, graph in enumerate(graphs) for a, b in graph]
     frame = spark.createDataFrame([*links, (None, 1), (1, None)], "a long, b long")
@@ -108,13 +108,14 @@ def edited(draw, words, n):
     return out
 
 
-def test_links_are_those_of_brute_force(spark):
+@pytest.mark.parametrize(("words", "similarity"), [(3, 85), (5, 80)])
+def test_links_are_those_of_brute_force(spark, words, similarity):
     draw, rows = random.Random(2), []
     for g in range(40):
         base = [f"w{draw.randrange(3000)}" for _ in range(draw.randrange(20, 150))]
         for _ in range(draw.choice([1, 1, 2, 3, 12])):
             rows.append((len(rows), " ".join(edited(draw, base, draw.randrange(0, 6)))))
-    assert len(compare(spark, rows, 5, 80)) > 50
+    assert len(compare(spark, rows, words, similarity)) > 50
 
 
 def test_a_chain_whose_ends_differ_and_a_group_around_the_threshold(spark):
@@ -123,7 +124,7 @@ def test_a_chain_whose_ends_differ_and_a_group_around_the_threshold(spark):
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(edited(draw, base, 3))) for i in range(60)]
     chain = list(base)
-    for i in range(100, 112):
+    for i in range(100, 130):
         chain = edited(draw, chain, 2)
         rows.append((i, " ".join(chain)))
     compare(spark, rows, 3, 85)
@@ -166,10 +167,10 @@ def compare_vectors(spark, rows, kind="float"):
     good = {
         i: np.array(v, np.float32 if kind == "float" else float).astype(float)
         for i, v, _ in rows
-        if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v) and len(v) == 8
+        if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)
     }
     unit = {i: v / np.linalg.norm(v) for i, v in good.items()}
-    links = [(i, j) for i, j in combinations(sorted(unit), 2) if unit[i] @ unit[j] >= 0.95]
+    links = [(i, j) for i, j in combinations(sorted(unit), 2) if len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.95]
     wanted = closure({i for i, _, _ in rows if i is not None}, links)
     assert len(got) == len(rows)
     for r in got:
@@ -183,11 +184,11 @@ def test_vectors_against_brute_force_with_a_group_of_a_third(spark):
     draw = np.random.default_rng(5)
     hot = draw.standard_normal(8)
     rows = []
-    for i in range(450):
+    for i in range(900):
         v = hot + draw.standard_normal(8) * 0.05 if i % 3 == 0 else draw.standard_normal(8)
         rows.append((i, [float(x) for x in v], "clash"))
     rows += [(900 + i, rows[1][1], "copy") for i in range(40)] + [(950, [3 * x for x in rows[1][1]], None)]
-    assert len(compare_vectors(spark, rows)) > 5_000
+    assert len(compare_vectors(spark, rows)) > 30_000
 
 
 def test_odd_vectors(spark):
@@ -212,3 +213,17 @@ def test_recall_over_the_given_vectors(spark):
     true = int(((x @ x.T) >= 0.95).sum() - len(x))
     found = sum(r.n_links for r in multiindex.near_duplicates(table).collect())
     assert 0.999 * true <= found <= true
+
+
+def test_vectors_of_every_length_are_linked_with_their_own(spark, monkeypatch):
+    """Five and six of two lengths, and two lengths large enough for codebooks of their own."""
+    rows = [(i, [1.0, 2.0], None) for i in range(5)] + [(10 + i, [1.0, 2.0, 0.1 * i], None) for i in range(6)]
+    compare_vectors(spark, rows)
+    monkeypatch.setattr(multiindex, "PER_CELL", 16)
+    draw = np.random.default_rng(9)
+    for n, length in ((300, 8), (200, 6), (30, 4)):
+        centres = draw.standard_normal((n // 3, length))
+        for i in range(n):
+            v = centres[i % len(centres)] + draw.standard_normal(length) * 0.08
+            rows.append((1000 * length + i, [float(x) for x in v], None))
+    assert len(compare_vectors(spark, rows)) > 200

@@ -30,7 +30,7 @@ def brute(rows, every, k=5):
             continue
         q = np.floor(256 * np.array(v, float))
         for j, w in rows:
-            if i != j:
+            if i != j and len(v) == len(w):
                 score = int(np.floor(256 * np.array(w, float)) @ q)
                 best[i, j] = max(score, best.get((i, j), score))
     out = set()
@@ -57,8 +57,10 @@ def test_blocks_and_ties_do_not_matter(spark, monkeypatch):
 def test_few_rows_odd_vectors_and_empty_tables(spark):
     nan, inf = float("nan"), float("inf")
     good = [(0, [1.0, -0.5]), (3, [0.0, 0.0]), (10, [0.25, 0.125])]
-    odd = [(20, None), (30, [nan, 1.0]), (40, [inf, 1.0]), (50, [None, 1.0]), (60, []), (70, [1.0]), (None, [1.0, 1.0])]
+    odd = [(20, None), (30, [nan, 1.0]), (40, [inf, 1.0]), (50, [None, 1.0]), (60, []), (None, [1.0, 1.0])]
     assert search(spark, good + odd, 10) == brute(good, 10)
+    other = [(70, [1.0]), (71, [0.5]), (80, [2.0, 1.0, 1.0])]  # compared with their own length
+    assert search(spark, good + odd + other, 10) == brute(good + other, 10)
     assert search(spark, [], 10) == set()
     assert search(spark, [(0, [1.0])], 10) == set()
 
@@ -73,3 +75,11 @@ def test_several_vectors_of_one_id_take_one_place(spark, monkeypatch, block):
     found = search(spark, rows, 10)
     assert found == brute(rows, 10)
     assert len([r for r in found if r[0] == 0]) == 5
+
+
+def test_two_lengths_share_no_candidates(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 40)
+    draw = np.random.default_rng(4)
+    rows = [(i, [float(x) / 16 for x in draw.integers(-3, 4, 5 if i % 3 else 3)]) for i in range(200)]
+    rows += [(10, [1.0] * 3), (10, [1.0] * 5), (30, [0.5] * 5)]  # an id with vectors of both
+    assert search(spark, rows, 10) == brute(rows, 10)
