@@ -33,6 +33,8 @@ STRICT = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: The least characters of a match.
+SHORTEST = {"email": 5, "ip": 7, "card": 2, "phone": 3}
 #: Further candidates: spelt-out addresses, IPv6, 15-digit cards, phone numbers without a plus
 #: or that run into other numbers.
 LOOSE = {
@@ -62,6 +64,8 @@ CUES = {
 AGAINST = "version release isbn issn order invoice date ref id no section page article doi sku"
 #: Characters before a candidate that are searched for cue words.
 CONTEXT = 32
+#: Spans of a text that are stepped over together, and code points of a piece of it.
+CHUNK, PIECE = 256, 4096
 
 VOTERS = ("strict", "gazetteer", "context", "form", "neighbours")
 #: Rounds of expectation-maximisation and of the classifier's descent.
@@ -77,54 +81,112 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _spans(text: Column, pattern: str) -> Column:
-    """Array of (start, end, value) of all matches, leftmost first; code points, end exclusive.
-
-    Parts between matches and matches alternate, so lengths add up to places. They are added
-    in chunks of 256, so that a text with very many matches does not cost their square.
-    """
-    found, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.filter(
-        F.zip_with(
-            parts,
-            found,
-            lambda p, m: F.struct(
-                F.length(p).alias("gap"), (F.length(p) + F.length(m)).alias("both"), m.alias("value")
-            ),
-        ),
-        lambda x: x["value"].isNotNull(),
-    )
-    total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x["both"])
-    chunked = lambda all_: F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / 256).cast("int")),
-        lambda c: F.slice(all_, c * 256 + 1, F.lit(256)),
+def _chunked(all_: Column) -> Column:
+    """An array cut into chunks of CHUNK, so that a step over all of it need not cost its square."""
+    return F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / CHUNK).cast("int")),
+        lambda c: F.slice(all_, c * CHUNK + 1, F.lit(CHUNK)),
     )
 
-    def placed(chunks: Column) -> Column:
-        def inside(chunk: Column, i: Column) -> Column:
-            earlier = F.aggregate(F.slice(chunks, F.lit(1), i), F.lit(0), lambda s, x: s + total(x))
-            return _let(
-                earlier,
-                lambda base: F.transform(
-                    chunk,
-                    lambda x, j: F.struct(
-                        (base + total(F.slice(chunk, F.lit(1), j)) + x["gap"]).alias("start"),
-                        x["value"].alias("value"),
+
+def _running(all_: Column, of: Callable[[Column], Column], add: Callable, make: Callable) -> Column:
+    """make(x, so_far) for every x, where so_far adds up `of` over the elements before x."""
+    fold = lambda a: F.aggregate(a, F.lit(0), add)
+
+    def over(chunks: Column) -> Column:
+        def inside(sums: Column) -> Column:
+            return F.flatten(
+                F.transform(
+                    chunks,
+                    lambda chunk, i: _let(
+                        fold(F.slice(sums, F.lit(1), i)),
+                        lambda before: _let(
+                            F.transform(chunk, of),
+                            lambda own: F.transform(
+                                chunk, lambda x, j: make(x, add(before, fold(F.slice(own, F.lit(1), j))))
+                            ),
+                        ),
                     ),
-                ),
+                )
             )
 
-        return F.flatten(F.transform(chunks, inside))
+        return _let(F.transform(chunks, lambda chunk: fold(F.transform(chunk, of))), inside)
+
+    return _let(_chunked(all_), over)
+
+
+def _spans(text: Column, pattern: str, shortest: int = 2) -> Column:
+    """Array of (start, end, value, before, after) of all matches, leftmost first.
+
+    Places are code points, end exclusive; `before` is the CONTEXT characters before the match,
+    `after` the one behind it. Parts between matches and matches alternate, so lengths add up to
+    places, and what stands beside a match is taken from the parts and matches around it, never
+    searched for from the beginning of the text: its cost is in proportion to its length.
+    """
+
+    def paired(found: Column, parts: Column) -> Column:
+        # Heads and tails of the parts, so that a long part is walked through once.
+        heads = F.transform(parts, lambda p: F.substring(p, 1, 1))
+        return _let(
+            heads,
+            lambda heads: F.transform(
+                found,
+                lambda m, i: F.struct(
+                    F.length(F.get(parts, i)).alias("gap"),
+                    (F.length(F.get(parts, i)) + F.length(m)).alias("both"),
+                    m.alias("value"),
+                    F.concat(F.substring(F.get(parts, i), -CONTEXT, CONTEXT), m).alias("tail"),
+                    F.when(F.get(heads, i + 1) != "", F.get(heads, i + 1))
+                    .otherwise(F.coalesce(F.substring(F.get(found, i + 1), 1, 1), F.lit("")))
+                    .alias("after"),
+                ),
+            ),
+        )
+
+    def beside(pairs: Column) -> Column:
+        # With matches of `shortest` characters at least, so many of them and the parts between hold
+        # the context.
+        near = -(-CONTEXT // shortest)
+        return F.transform(
+            pairs,
+            lambda x, i: F.struct(
+                x["gap"].alias("gap"),
+                x["both"].alias("both"),
+                x["value"].alias("value"),
+                x["after"].alias("after"),
+                _let(
+                    F.concat(
+                        F.array_join(
+                            F.transform(
+                                F.slice(pairs, F.greatest(i - near, F.lit(0)) + 1, F.least(i, F.lit(near))),
+                                lambda y: y["tail"],
+                            ),
+                            "",
+                        ),
+                        F.substring(x["tail"], F.lit(1), F.length(x["tail"]) - F.length(x["value"])),
+                    ),
+                    lambda t: F.substring(t, -CONTEXT, CONTEXT),
+                ).alias("before"),
+            ),
+        )
 
-    spans = F.transform(
-        _let(_let(pairs, chunked), placed),
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            (x["start"] + F.length(x["value"])).alias("end"),
+    def placed(x: Column, at: Column) -> Column:
+        return F.struct(
+            (at + x["gap"]).alias("start"),
+            (at + x["both"]).alias("end"),
             x["value"].alias("value"),
-        ),
+            x["before"].alias("before"),
+            x["after"].alias("after"),
+        )
+
+    pairs = _let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda found: _let(F.split(text, pattern, -1), lambda parts: paired(found, parts)),
+    )
+    spans = _let(
+        _let(pairs, beside), lambda all_: _running(all_, lambda x: x["both"], lambda s, x: s + x, placed)
     )
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
     return F.when(F.col("_any") & text.rlike(pattern), spans).otherwise(empty)
 
 
@@ -156,22 +218,16 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _votes(kind: str, span: Column, text: Column, strict: bool) -> list[Column]:
+def _votes(kind: str, span: Column, strict: bool) -> list[Column]:
     """The votes of VOTERS on a span: 1 for, -1 against, 0 silent."""
     value = span["value"]
     n = F.length(_digits(value))
     vote = lambda good, bad: F.when(bad, -1).when(good, 1).otherwise(0)
-    before = F.lower(
-        F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1, F.least(span["start"], F.lit(CONTEXT)))
-    )
+    before = F.lower(span["before"])
     context = vote(
         before.rlike(rf"\b(?:{_one_of(CUES[kind])})\b"), before.rlike(rf"\b(?:{_one_of(AGAINST)})\b[^a-z]*$")
     )
-    around = F.concat(
-        F.substring(text, F.greatest(span["start"], F.lit(1)), F.when(span["start"] > 0, 1).otherwise(0)),
-        F.lit("|"),
-        F.substring(text, span["end"] + 1, F.lit(1)),
-    )
+    around = F.concat(F.substring(span["before"], -1, 1), F.lit("|"), span["after"])
     neighbours = vote(around.rlike(r"^[\s(,;:<\"']?\|[\s),;.:>\"'!?]?$"), around.rlike(r"^[=/#_]|[=/_%]$"))
     if kind == "email":
         gazetteer = vote(value.rlike(rf"(?i)[. )]({_one_of(DOMAINS)})$"), value.rlike(r"\.[0-9]+$"))
@@ -191,10 +247,10 @@ def _votes(kind: str, span: Column, text: Column, strict: bool) -> list[Column]:
     return [F.lit(1 if strict else 0), gazetteer, context, form, neighbours]
 
 
-def _key(kind: str, span: Column, text: Column, strict: bool) -> Column:
+def _key(kind: str, span: Column, strict: bool) -> Column:
     """The span's features as one string: kind, votes, length class."""
     size = F.least(F.floor((span["end"] - span["start"]) / 8), F.lit(3))
-    votes = [v.cast("string") for v in _votes(kind, span, text, strict)]
+    votes = [v.cast("string") for v in _votes(kind, span, strict)]
     return F.concat_ws(" ", F.lit(kind), *votes, size.cast("string"))
 
 
@@ -206,12 +262,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     valid = lambda kind: lambda s: _valid(kind, s["value"])
     docs = docs.withColumn("_any", body.rlike(SIGN))
-    docs = docs.withColumns({f"base_{k}": F.filter(_spans(body, STRICT[k]), valid(k)) for k in KINDS})
-    docs = docs.withColumn("_base", F.concat(*[f"base_{k}" for k in KINDS]))
-    apart = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    docs = docs.withColumns({f"more_{k}": F.filter(_spans(body, LOOSE[k]), apart) for k in KINDS})
+    docs = docs.withColumns({f"base_{k}": F.filter(_spans(body, STRICT[k], SHORTEST[k]), valid(k)) for k in KINDS})
+    places = [F.transform(f"base_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]
+    # Base spans in order, in chunks: a looser span looks into the chunks it reaches into only.
+    ranges = lambda chunks: F.transform(
+        chunks,
+        lambda c: F.struct(
+            F.get(c, F.lit(0))["start"].alias("start"),
+            F.array_max(F.transform(c, lambda b: b["end"])).alias("end"),
+            c.alias("spans"),
+        ),
+    )
+    docs = docs.withColumn("_base", _let(_let(F.array_sort(F.concat(*places)), _chunked), ranges))
+    meets = lambda b, s: (b["start"] < s["end"]) & (s["start"] < b["end"])
+    apart = lambda s: ~F.exists(
+        "_base", lambda c: meets(c, s) & F.exists(c["spans"], lambda b: meets(b, s))
+    )
+    docs = docs.withColumns({f"more_{k}": F.filter(_spans(body, LOOSE[k], 7), apart) for k in KINDS})
     add = lambda kind, strict: lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), _key(kind, s, body, strict).alias("key")
+        s["start"].alias("start"), s["end"].alias("end"), _key(kind, s, strict).alias("key")
     )
     return docs.withColumns(
         {f"{w}_{k}": F.transform(f"{w}_{k}", add(k, w == "base")) for w in ("base", "more") for k in KINDS}
@@ -326,20 +395,45 @@ def redacted(text: Column, spans: Column) -> Column:
     by_start = F.array_sort(
         F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
+    length = F.length(text)
+    # Pieces of the text, so that a part of it is found without a walk from its beginning.
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.floor(length / PIECE).cast("int")),
+        lambda c: F.substring(text, c * PIECE + 1, F.lit(PIECE)),
+    )
 
-    def step(state: Column, s: Column) -> Column:
-        piece = F.concat(
-            F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")
-        )
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= state["at"], F.array_append(state["done"], piece))
-            .otherwise(state["done"])
-            .alias("done"),
+    def between(pieces: Column, start: Column, end: Column) -> Column:
+        number = lambda at: F.floor(at / PIECE).cast("int")
+        parts = F.transform(
+            F.sequence(number(start), number(end)),
+            lambda c: F.substring(
+                F.get(pieces, c),
+                F.greatest(start - c * PIECE, F.lit(0)) + 1,
+                end - F.greatest(start, c * PIECE),
+            ),
         )
-
-    whole = F.aggregate(
-        by_start, start, step, lambda s: F.concat(F.array_join(s["done"], ""), F.substring(text, s["at"] + 1, F.length(text)))
+        return F.array_join(parts, "")
+
+    # Each span with the end of all before it; those that begin behind it are placeholders.
+    reached = _running(
+        by_start,
+        lambda s: s["end"],
+        lambda a, b: F.greatest(a, b),
+        lambda s, at: F.struct(s["start"].alias("start"), at.alias("at"), s["kind"].alias("kind")),
+    )
+    heads = F.filter(reached, lambda s: s["start"] >= s["at"])
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
+    whole = _let(
+        pieces,
+        lambda pieces: F.concat(
+            F.array_join(
+                F.transform(
+                    heads,
+                    lambda s: F.concat(between(pieces, s["at"], s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]")),
+                ),
+                "",
+            ),
+            between(pieces, last, length),
+        ),
     )
     return F.when(F.size(spans) == 0, text).otherwise(whole)

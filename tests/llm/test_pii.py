@@ -118,3 +118,59 @@ def test_the_classifier_adds_spans_and_never_drops_base_ones(spark):
 )
 def test_redaction(spark, text, wanted):
     assert found(spark, [text], {})[0].red == wanted
+
+
+def test_two_megabytes_of_matches_take_time_in_proportion(spark):
+    import time
+
+    line = "mail jane.doe@example.com or +49 30 1234567, then 12 34 56 78 and x (at) y.org; 4111 1111 1111 1111\n"
+    text = line * (2_000_000 // len(line))
+    rows = [(1, text), (2, line * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    began = time.time()
+    found = pii.find(docs, pii.train(docs)).withColumn("clean", pii.redacted(F.col("text"), F.col("spans")))
+    got = {r.doc_id: r for r in found.collect()}
+    assert time.time() - began < 120
+    for doc_id, text in rows:
+        assert [(s.start, s.end) for s in got[doc_id].base if s.kind == "email"] == [
+            m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)
+        ]
+        assert got[doc_id].clean == plainly_redacted(text, got[doc_id].spans)
+        assert "jane" not in got[doc_id].clean
+
+
+def plainly_redacted(text, spans):
+    out, at = [], 0
+    for start, end, kind in sorted((s.start, s.end, s.kind) for s in spans):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_context_and_redaction_of_dense_texts_match_plain_python(spark, monkeypatch, seed):
+    """Neighbours, context and placeholders where matches touch, with small chunks and pieces."""
+    import random
+
+    monkeypatch.setattr(pii, "CHUNK", 3)
+    monkeypatch.setattr(pii, "PIECE", 16)
+    pick = random.Random(seed)
+    parts = ["a@b.co", "+1234567890", "12 34", "1.2.3.4", " ", ",", "é𝄞", "tel ", "x(at)y.de", "99-11", "\n", "phone +49 30 1234567 "]
+    rows = [(i, "".join(pick.choices(parts, k=pick.randrange(30)))) for i in range(60)] + [(99, None), (98, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    beside = docs.withColumn("_any", F.lit(True)).select(
+        "doc_id", "text", *[pii._spans(F.coalesce("text", F.lit("")), p).alias(k) for k, p in pii.STRICT.items()]
+    )
+    for r in beside.collect():
+        for kind in pii.KINDS:
+            for s in r[kind]:
+                assert r.text[s.start : s.end] == s.value
+                assert s.before == r.text[max(0, s.start - pii.CONTEXT) : s.start]
+                assert s.after == r.text[s.end : s.end + 1]
+    found = pii.find(docs, pii.train(docs)).withColumn("clean", pii.redacted(F.col("text"), F.col("spans")))
+    for r in found.collect():
+        assert r.clean == (None if r.text is None else plainly_redacted(r.text, r.spans))
+        base = [(s.start, s.end) for s in r.base]
+        for s in r.spans:
+            assert (s.start, s.end) in base or not any(a < s.end and s.start < b for a, b in base)
