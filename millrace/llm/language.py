@@ -29,8 +29,9 @@ FAMILIES = {
 }
 ORDERS = (1, 2, 3)
 BITS = 13
-#: Documents of each language the machines are fitted on at most, by smallest hash of the id.
-SAMPLE = 800
+#: Documents the machines are fitted on at most, dealt evenly over the languages, of each those with
+#: the smallest hash of the id; and the languages that are learnt, the commonest ones.
+SAMPLE, LANGUAGES = 3200, 200
 ROUNDS = 150
 PENALTY = 1e-4
 #: Rows whose id's crc32 has this remainder by four are held out.
@@ -120,25 +121,36 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Machines | None:
-    """Fit on at most `sample` documents per language outside the held-out fold.
+    """Fit on at most `sample` documents outside the held-out fold, as many of each language.
 
-    Rows with a null id, lang or text take no part, nor do texts without a letter. Which rows are
-    taken is found on ids alone; only their features meet, a bounded number per language.
-    Nothing to learn from gives None.
+    Rows with a null id, lang or text take no part, nor do texts without a letter. Of more than
+    LANGUAGES languages the commonest are learnt. Which rows are taken is found on ids alone:
+    those below a hash that keeps about twice as many are ranked, so no task ranks a whole
+    language. Only features of the sample meet, a bounded number. Nothing to learn from gives None.
     """
-    usable = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(~held_out())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    usable = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(~held_out()).select("doc_id", "lang")
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not sizes:
+        return None
+    quota = max(1, sample // len(sizes))
+    share = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, max(2 * quota, quota + 64) / r["n"])) for r in sizes], "lang string, share double"
+    )
+    h = F.xxhash64("doc_id")
+    by_hash = Window.partitionBy("lang").orderBy(h, "doc_id")
     chosen = (
-        usable.select("doc_id", "lang")
-        .withColumn("n", F.row_number().over(by_hash))
-        .where(F.col("n") <= sample)
-        .select("doc_id", "lang")
+        usable.join(F.broadcast(share), "lang")  # LANGUAGES rows
+        .where(h.cast("double") / float(2**63) <= F.col("share") * 2 - 1)
         .distinct()
+        .withColumn("i", F.row_number().over(by_hash))
+        .where(F.col("i") <= quota)
+        .select("doc_id", "lang")
     )
     rows = (
         docs.where(has_letter())
         .select("doc_id", "lang", "text")
-        .join(F.broadcast(chosen), ["doc_id", "lang"])  # `sample` ids a language
+        .join(F.broadcast(chosen), ["doc_id", "lang"])  # `sample` rows
         .groupBy("doc_id", "lang")
         .agg(F.max("text").alias("text"))
         .mapInArrow(_features, "doc_id long, lang string, x binary")
