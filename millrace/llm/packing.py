@@ -169,10 +169,17 @@ def pack(
     )
     complete = F.col("slot") < F.floor(F.col("total") / F.col("klass"))
     inside = Window.partitionBy("klass", "slot").orderBy("base", "i")
+    # A class's bins follow those of the smaller classes: prefix sums over a row per class.
+    classes_before = Window.orderBy("klass").rowsBetween(Window.unboundedPreceding, -1)
+    per_class = ranks.select("klass", F.expr("total div klass").alias("bins")).distinct()
+    firsts = per_class.select(
+        "klass", F.coalesce(F.sum("bins").over(classes_before), F.lit(0)).alias("first")
+    )
     by_class = (
         left.where(complete)
         .withColumn("offset", F.sum("length").over(inside) - F.col("length"))
-        .select(*PIECES, F.struct("klass", "slot").alias("key"), "offset")
+        .join(F.broadcast(firsts), "klass")  # `classes` rows
+        .select(*PIECES, (F.col("first") + F.col("slot")).alias("number"), "offset")
     )
     pooled = (
         left.where(~complete)
@@ -180,16 +187,14 @@ def pack(
         .groupBy()
         .applyInArrow(first_fit(capacity), longs([*PIECES, "bin", "offset"]))
     )
-    pooled = pooled.select(
-        *PIECES, F.struct(F.lit(0).alias("klass"), F.col("bin").alias("slot")).alias("key"), "offset"
+    behind = per_class.agg(F.coalesce(F.sum("bins"), F.lit(0)).alias("behind"))
+    pooled = pooled.crossJoin(F.broadcast(behind)).select(  # one row
+        *PIECES, (F.col("behind") + F.col("bin")).alias("number"), "offset"
     )
-    second = by_class.unionByName(pooled)
-    keys = second.select("key").distinct()
     shift = F.coalesce(F.sum("n"), F.lit(0)).alias("shift")
-    numbers = keys.withColumn("number", F.row_number().over(Window.orderBy("key")) - 1)
     second = (
-        second.join(numbers, "key")
-        .crossJoin(per_worker.agg(shift))  # one row
+        by_class.unionByName(pooled)
+        .crossJoin(F.broadcast(per_worker.agg(shift)))  # one row
         .select(*PIECES, (F.col("shift") + F.col("number")).alias("sequence_id"), "offset")
     )
     return filled.unionByName(second)
