@@ -7,6 +7,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import shared_folder
+
 #: A word is a run of anything but these six ASCII blanks (space, tab to carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -15,13 +17,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """The rows of `df`, computed once and kept in the folder of spark.checkpoint.dir.
 
     A lost executor then costs a read, not a recomputation, and every later job sees the
-    same rows. Only a session that names no folder (a test) gets one, in the warehouse.
+    same rows. Only a local session that names no folder (a test) gets one, in the warehouse; on a
+    cluster one that not all executors share is refused.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        warehouse = df.sparkSession.conf.get("spark.sql.warehouse.dir")
-        context.setCheckpointDir(folder or f"{warehouse.rstrip('/')}/_checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import WORD, checkpoint, running_total
 
@@ -89,8 +90,11 @@ def curriculum(
     position of each of its `epochs` turns in the run (null where the turn takes less than
     half of it). A source's documents come in the order of md5(doc_id), once over for each
     epoch; the words of a source add up to its rounded target, so the last document of a source
-    may be taken in part. With `carry` the whole row of `docs` comes along as struct `row`. Null texts have no words and nothing is taken of them; null sources
-    are one source; equal ids and equal rows are rows of their own. Other columns are ignored.
+    may be taken in part. With `carry` the whole row of `docs` comes along as struct `row`, and `place`,
+    where the row stands in its source's time whether or not it is taken; rows of one id and size
+    are then told apart by their contents. Null texts have no words and nothing is taken of them;
+    null sources are one source; equal ids and equal rows are rows of their own. Other columns are
+    ignored.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.select(
@@ -98,7 +102,7 @@ def curriculum(
         "source",
         word_count(F.col("text")).alias("size"),
         key.alias("key"),
-        *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []),
+        *([F.struct(*[docs[c] for c in docs.columns]).alias("row"), _tie(docs).alias("tie")] if carry else []),
     )
     if not carry:
         sized = checkpoint(sized)
@@ -108,7 +112,8 @@ def curriculum(
         .drop("s")
         .withColumn("bucket", F.substring("key", 1, 3))
     )
-    rows = running_total(rows, ["rank"], "bucket", ["key", "size"], "size", "before")
+    order = ["key", "size", *(["tie"] if carry else [])]
+    rows = running_total(rows, ["rank"], "bucket", order, "size", "before")
     budget = F.floor(F.col("target") + F.lit(0.5))
     turns = [
         F.greatest(
@@ -130,6 +135,8 @@ def curriculum(
             for e in range(epochs)
         }
     )
+    share = F.least(F.col("before") / F.greatest(budget, F.lit(1)), F.lit(1.0))
+    rows = rows.withColumn("place", due(share, F.col("w_start"), F.col("w_end")))
     taken = sum((F.col(f"turn_{e}") for e in range(1, epochs)), F.col("turn_0"))
     return rows.select(
         "doc_id",
@@ -139,19 +146,32 @@ def curriculum(
         "target",
         taken.alias("taken"),
         *[f"position_{e}" for e in range(epochs)],
-        *(["row"] if carry else []),
+        *(["row", "place"] if carry else []),
     )
 
 
+def _tie(docs: DataFrame) -> Column:
+    """A hash of the row; rows that share it are taken for equal."""
+    unordered = (T.MapType, T.VariantType)
+    values = [
+        F.to_json(F.struct(docs[f.name])) if isinstance(f.dataType, unordered) else docs[f.name] for f in docs.schema
+    ]
+    return F.xxhash64(*values)
+
+
 def mixed(
     docs: DataFrame,
     schedules: Sequence[tuple[float, float]] = SCHEDULES,
     total: float = TOTAL,
     epochs: int = EPOCHS,
 ) -> DataFrame:
-    """The rows of `docs` in training order, each whole and as often as it has positions."""
+    """The rows of `docs` in training order, each whole and as often as it has positions.
+
+    A row without a word cannot change what share a source has: it comes once, at its place.
+    """
     plan = curriculum(docs, schedules, total, epochs, carry=True)
-    positions = F.array_compact(F.array(*[f"position_{e}" for e in range(epochs)]))
+    due_at = F.array_compact(F.array(*[f"position_{e}" for e in range(epochs)]))
+    positions = F.when(F.col("size") == 0, F.array("place")).otherwise(due_at)
     return (
         plan.select(F.explode(positions).alias("position"), "row")
         .orderBy("position", "row.doc_id")

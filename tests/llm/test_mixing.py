@@ -110,3 +110,17 @@ def test_mixed_repeats_whole_rows_in_training_order(spark):
         wanted = (r.position_0 is not None) + (r.position_1 is not None)
         assert times[r.doc_id] == wanted
         assert abs(r.taken - wanted * r.size) <= r.size / 2
+
+
+def test_rows_without_a_word_come_once_in_their_place(spark):
+    """Null and blank texts leave no source out and change no target; reruns agree on ties."""
+    rows = [(i, f"w{i} " * (i % 4), f"s{i % 3}") for i in range(120)] + [(7, None, None), (7, " \n", None), (None, "", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixed(docs).collect()
+    blank = lambda t: not (t or "").split()
+    found = Counter((r.doc_id, r.text, r.source) for r in out if blank(r.text))
+    assert found == Counter(r for r in rows if blank(r[1]))
+    again = mixed(docs.repartition(7)).collect()
+    assert Counter(map(tuple, out)) == Counter(map(tuple, again))
+    places = [i for i, r in enumerate(out) if blank(r.text) and r.source == "s0"]
+    assert max(places) > len(out) / 4 > 2 * min(places)  # spread over the first time round

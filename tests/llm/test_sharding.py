@@ -79,3 +79,13 @@ def test_nulls_repeated_rows_long_texts_and_empty_tables(spark):
     rows = [(1, None, None), (2, "", "a"), (3, "x", "a"), (3, "x", "a"), (None, "y", "b"), (4, "z" * 500_000, "c")]
     check(rows, bounded_ring(spark.createDataFrame(rows, SCHEMA)).collect())
     assert bounded_ring(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_one_more_shard_moves_few_rows(spark):
+    """A ninth shard should take a ninth of the rows; bounded loads move a few more."""
+    rows = [(i, f"some text {i}", None) for i in range(4000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    before, after = ({r.doc_id: r.shard for r in bounded_ring(docs, n).collect()} for n in (8, 9))
+    moved = [i for i in before if before[i] != after[i]]
+    assert len(moved) < 0.2 * len(rows)
+    assert sum(after[i] != 8 for i in moved) < 0.08 * len(rows)
