@@ -7,13 +7,12 @@ the operators of each stage define it.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import minhash, mixing, packing, pii, toxicity
 from millrace.llm.common import package_for_workers, table
+from millrace.sources.tables import StagedTable
 
 
 def whole(docs: DataFrame) -> Column:
@@ -47,7 +46,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, each whole and as often as the curriculum takes it."""
+    """Documents in training order, each whole and as often as the curriculum takes it.
+
+    Those without a word have no part in the weights; each comes once, where it stands in its source.
+    """
     return mixing.mixed(docs)
 
 
@@ -69,11 +71,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents; each result is kept in the shared folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    folder = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    """Apply all stages to the documents; each result lies in the shared folder until the next one
+    is written, the last one stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES:
+        after = StagedTable(stage(spark, docs, sf_dir))
+        if before:
+            before.drop()
+        docs, before = after.df, after
     return docs
