@@ -9,7 +9,7 @@ import numpy as np
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Texts are worked through in slices of so many bytes, so that a huge one needs no more memory.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 

@@ -101,7 +101,7 @@ def _least(margin: float, share: float, length: float, cost: float) -> float:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per feature of this task's texts how many toxic and clean ones have it; -1 stands for all."""
     features = Tiers(ORDERS, BITS, TIERS)
-    seen, all_ = np.zeros((2, features.size), np.int64), np.zeros(2, np.int64)
+    seen, all_ = np.zeros((2, features.size), np.int32), np.zeros(2, np.int64)
     for batch in batches:
         for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
             seen[toxic, features.of(text.as_py() or "")] += 1
@@ -109,7 +109,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if all_.any():
         where = np.flatnonzero(seen.any(0))
         feature = np.r_[-1, where].astype(np.int32)
-        counts = np.c_[all_, seen[:, where]]
+        counts = np.c_[all_, seen[:, where].astype(np.int64)]
         for at in range(0, len(feature), 1 << 16):
             part = slice(at, at + (1 << 16))
             columns = [feature[part], counts[1, part], counts[0, part]]
@@ -159,6 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         .mapInArrow(_count, "feature int, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .where("toxic + clean >= 2 OR feature = -1")  # the ratio of the others is 0
         .toArrow()
     )
     feature, toxic, clean = (counted.column(c).to_numpy() for c in ("feature", "toxic", "clean"))
