@@ -1071,6 +1071,42 @@ def failure_episodes(spark, sf_dir):
     return m.failure_episodes(table(spark, sf_dir, "events"), ["user_id"], "ts", F.col("event_type") == "error")
 
 
+@query(
+    """SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate,
+      CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS o_orderpriority,
+      CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS status,
+      CASE WHEN o_orderkey % 3 = 2 THEN o_custkey END AS cust FROM orders"""
+)
+def schema_evolution(spark, sf_dir):
+    """Orders written in three generations, with wider types and new fields from one to the next."""
+    orders, root = table(spark, sf_dir, "orders"), m.new_folder(spark, "generations")
+    generations = [
+        ["int(o_orderkey) AS o_orderkey", "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice",
+         "date(o_orderdate) AS o_orderdate"],
+        ["o_orderkey", "CAST(o_totalprice AS DECIMAL(14,3)) AS o_totalprice",
+         "CAST(o_orderdate AS TIMESTAMP_NTZ) AS o_orderdate", "o_orderpriority",
+         "named_struct('status', o_orderstatus) AS info"],
+        ["o_orderkey", "o_totalprice", "CAST(o_orderdate AS TIMESTAMP_NTZ) AS o_orderdate",
+         "named_struct('status', o_orderstatus, 'cust', o_custkey) AS info"],
+    ]
+    for i, columns in enumerate(generations):
+        orders.filter(f"o_orderkey % 3 = {i}").selectExpr(*columns).write.parquet(f"{root}/{i}")
+    read = m.read_generations(spark, [f"{root}/{i}" for i in range(3)])
+    return read.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "info.status", "info.cust")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+    WHERE l_partkey BETWEEN 20 AND 60 AND l_quantity BETWEEN 10 AND 14"""
+)
+def clustered_read(spark, sf_dir):
+    """Lines clustered by part and quantity, read by a range of both."""
+    path = f"{m.new_folder(spark, 'clustered')}/lineitem"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    m.write_table(m.cluster_by(lines, ["l_partkey", "l_quantity"], 16), path)
+    return m.read_table(spark, path).filter("l_partkey BETWEEN 20 AND 60 AND l_quantity BETWEEN 10 AND 14")
+
+
 # --- driver contract ------------------------------------------------------------------------
 
 

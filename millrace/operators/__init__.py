@@ -6,8 +6,10 @@ from millrace.operators.cleanse import (
     standardize_nulls,
     trim_whitespace,
 )
+from millrace.operators.clustering import cluster_by, curve_position
 from millrace.operators.dedup import hash_dedup, remove_duplicates, window_dedup
 from millrace.operators.differences import bucket_checksums, reconcile_rows
+from millrace.operators.evolution import conform, merged_schema, read_generations, wider
 from millrace.operators.history import as_of_join, failure_episodes, version_history
 from millrace.operators.ledger import (
     append_log_events,
@@ -55,8 +57,11 @@ __all__ = [
     "as_of_join",
     "bucket_checksums",
     "cast_to_schema",
+    "cluster_by",
+    "conform",
     "contract_gate",
     "contract_violations",
+    "curve_position",
     "derive_partitions",
     "drift_report",
     "drop_empty_rows",
@@ -71,6 +76,7 @@ __all__ = [
     "load_fields",
     "logged_events",
     "merged_profile",
+    "merged_schema",
     "normalize_column_names",
     "null_rates",
     "partition_profiles",
@@ -78,6 +84,7 @@ __all__ = [
     "profile_gate",
     "quality_gate",
     "read_event_log",
+    "read_generations",
     "read_ledger",
     "read_profiles",
     "reconcile",
@@ -96,5 +103,6 @@ __all__ = [
     "trim_whitespace",
     "uniqueness",
     "version_history",
+    "wider",
     "window_dedup",
 ]

@@ -1,0 +1,91 @@
+"""Schemas over time, and tables clustered by several columns."""
+
+import glob
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import millrace as m
+from conftest import plan, rows
+
+
+def kind(ddl):
+    return T.DataType.fromDDL(ddl)
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "wanted"),
+    [
+        ("int", "bigint", "bigint"), ("tinyint", "smallint", "smallint"), ("int", "double", "double"),
+        ("float", "bigint", "double"), ("decimal(5,2)", "int", "decimal(12,2)"), ("decimal(5,2)", "decimal(4,3)", "decimal(6,3)"),
+        ("decimal(38,0)", "decimal(38,30)", "string"), ("decimal(5,2)", "float", "double"), ("date", "timestamp_ntz", "timestamp_ntz"),
+        ("timestamp", "date", "timestamp"), ("timestamp", "timestamp_ntz", "string"), ("int", "string", "string"),
+        ("boolean", "int", "string"), ("void", "int", "int"), ("array<int>", "array<bigint>", "array<bigint>"),
+        ("map<string,int>", "map<string,double>", "map<string,double>"), ("struct<a:int>", "struct<b:int,a:bigint>", "struct<a:bigint,b:int>"),
+    ],
+)
+def test_the_wider_type(spark, a, b, wanted):
+    assert m.wider(kind(a), kind(b)).simpleString() == wanted
+    if not wanted.startswith("struct"):
+        assert m.wider(kind(b), kind(a)).simpleString() == wanted
+
+
+def test_types_without_a_common_one_are_refused_by_name(spark):
+    for a, b in (("int", "struct<a:int>"), ("array<int>", "map<int,int>"), ("string", "array<int>")):
+        with pytest.raises(ValueError, match="deep.x"):
+            m.merged_schema([kind(f"struct<deep:struct<x:{t}>>") for t in (a, b)])
+
+
+def test_generations_are_read_into_one_schema(spark, tmp_path):
+    old = "SELECT 1 AS id, date'2024-01-02' AS t, array(named_struct('a', 1)) AS l, map('k', 1) AS m, named_struct('x', 1) AS s, 1.5BD AS d"
+    new = ("SELECT 2L AS id, timestamp_ntz'2024-01-03 04:05:06' AS t, array(named_struct('a', 2L, 'b', 'n'), NULL) AS l, map('k', 2.5D) AS m,"
+           " named_struct('y', 'new', 'x', 7) AS s, 12.25BD AS d, 'more' AS e")
+    odd = "SELECT 3 AS id, CAST(NULL AS DATE) AS t, NULL AS l, CAST(NULL AS MAP<STRING,INT>) AS m, CAST(NULL AS STRUCT<x:INT>) AS s, 7 AS d, 5 AS e"
+    paths = []
+    for i, sql in enumerate((old, new, odd.replace("NULL AS l", "CAST(NULL AS ARRAY<STRUCT<a:INT>>) AS l"))):
+        paths.append(str(tmp_path / str(i)))
+        spark.sql(sql).write.parquet(paths[-1])
+    read = m.read_generations(spark, paths)
+    assert read.schema.simpleString() == (
+        "struct<id:bigint,t:timestamp_ntz,l:array<struct<a:bigint,b:string>>,m:map<string,double>,s:struct<x:int,y:string>,d:decimal(12,2),e:string>"
+    )
+    got = rows(read.select("id", F.to_json("l"), F.to_json("m"), F.to_json("s"), F.col("d").cast("string"), "e"))
+    assert got == [
+        (1, '[{"a":1}]', '{"k":1.0}', '{"x":1}', "1.50", None),
+        (2, '[{"a":2,"b":"n"},null]', '{"k":2.5}', '{"x":7,"y":"new"}', "12.25", "more"),
+        (3, None, None, None, "7.00", "5"),
+    ]
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,2)]" in plan(read.filter("id = 2"))
+    assert rows(m.read_generations(spark, paths[:1])) == rows(spark.read.parquet(paths[0]))
+    with pytest.raises(ValueError, match="path"):
+        m.read_generations(spark, [])
+
+
+def test_a_filter_on_either_column_skips_most_files(spark, tmp_path):
+    """A third of the rows share one value of a column; both have nulls."""
+    data = spark.range(40_000).selectExpr(
+        "IF(id % 3 = 0, 500, (id * 7919) % 10000) AS a", "IF(id % 50 = 0, NULL, CAST((id * 104729) % 365 AS INT)) AS d"
+    ).selectExpr("a", "date_add(date'2024-01-01', d) AS day", "a AS payload")
+    path = str(tmp_path / "clustered")
+    m.write_table(m.cluster_by(data, ["a", "day"], 32), path)
+    out = spark.read.parquet(path)
+    assert rows(out.groupBy("a").count().filter("a < 30")) == rows(data.groupBy("a").count().filter("a < 30"))
+    footers = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*.parquet")]
+    assert 24 <= len(footers) <= 34 and max(f.num_rows for f in footers) < 40_000 / 32 * 4
+
+    def touched(column, low, high):
+        found = 0
+        for f in footers:
+            stats = [f.row_group(g).column(column).statistics for g in range(f.num_row_groups)]
+            found += any(s.has_min_max and s.min <= high and s.max >= low for s in stats)
+        return found
+
+    import datetime
+
+    assert touched(0, 9000, 9300) <= 12
+    assert touched(1, datetime.date(2024, 3, 1), datetime.date(2024, 3, 7)) <= 12
+    assert m.cluster_by(data.limit(0), ["a", "day"], 4).count() == 0
+    with pytest.raises(ValueError, match="cannot be clustered"):
+        m.cluster_by(data.withColumn("a", F.lit("x")), ["a"], 4)
