@@ -163,10 +163,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         .toArrow()
     )
     feature, toxic, clean = (counted.column(c).to_numpy() for c in ("feature", "toxic", "clean"))
-    with_toxic, with_clean = np.zeros(size + 1), np.zeros(size + 1)  # the last one is -1
-    with_toxic[feature], with_clean[feature] = toxic, clean
-    ratio = log_ratios(with_toxic[:-1], with_clean[:-1], with_toxic[-1], with_clean[-1])
-    shared = docs.sparkSession.sparkContext.broadcast(ratio.astype(np.float32))
+    del counted
+    of_all, ratio = feature < 0, np.zeros(size, np.float32)  # in the driver: only features that occur
+    ratio[feature[~of_all]] = log_ratios(toxic[~of_all], clean[~of_all], toxic[of_all].sum(), clean[of_all].sum())
+    del feature, toxic, clean
+    shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     halves = [
         known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
