@@ -478,7 +478,7 @@ RUNS = f"""WITH r AS (SELECT job_name, run_id, status, start_time, end_time, row
   FROM ({LEDGER}))"""
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     status = F.col("o_orderstatus")
     hours = (1 + F.col("o_orderkey") % 48).cast("int")
@@ -500,9 +500,13 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             "error_message"
         ),
     )
+    return started, ended
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = m.new_folder(spark, "ledger")
-    m.append_run_events(started, path)
-    m.append_run_events(ended, path)
+    for events in ledger_events(spark, sf_dir):
+        m.append_run_events(events, path)
     return m.read_ledger(spark, path)
 
 
@@ -511,6 +515,22 @@ def run_state(spark, sf_dir):
     return m.run_state(ledger(spark, sf_dir))
 
 
+@query(f"{RUNS} SELECT *, CAST(CASE status WHEN 'RUNNING' THEN 1 ELSE 2 END AS BIGINT) AS ledger_rows FROM r")
+def ledger_compacted(spark, sf_dir):
+    """Starts, successes and failures land one after another and are compacted in between; the
+    files that were replaced are still there, and no row is counted twice."""
+    started, ended = ledger_events(spark, sf_dir)
+    path = m.new_folder(spark, "ledger")
+    m.append_run_events(started, path)
+    m.append_run_events(ended.filter("status = 'SUCCESS'"), f"{path}/succeeded")
+    m.compact_ledger(spark, path, min_files=1)
+    m.append_run_events(ended.filter("status = 'FAILED'"), f"{path}/failed")
+    m.compact_ledger(spark, path, min_files=1)
+    rows = m.read_ledger(spark, path)
+    counted = rows.groupBy("job_name", "run_id").agg(F.count(F.lit(1)).alias("ledger_rows"))
+    return m.run_state(rows).join(counted, ["job_name", "run_id"])
+
+
 @query(
     f"""{RUNS} SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY job_name
     ORDER BY end_time DESC, run_id DESC) AS rn FROM r WHERE status = 'SUCCESS') WHERE rn = 1"""

@@ -14,6 +14,7 @@ from millrace.operators.history import as_of_join, failure_episodes, version_his
 from millrace.operators.ledger import (
     append_log_events,
     append_run_events,
+    compact_ledger,
     incremental_filter,
     last_success,
     logged_events,
@@ -58,6 +59,7 @@ __all__ = [
     "bucket_checksums",
     "cast_to_schema",
     "cluster_by",
+    "compact_ledger",
     "conform",
     "contract_gate",
     "contract_violations",

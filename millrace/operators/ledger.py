@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import pick
+from millrace.sources.compaction import compact, read_compacted
 from millrace.sources.tables import write_table
 
 # The states of a run.
@@ -82,8 +83,23 @@ def append_run_events(events: DataFrame, path: str, error_length: int | None = N
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a ledger, from the folder itself and from folders below it."""
-    return spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+    """All rows of a ledger, from the folder itself and from folders below it.
+
+    Each row is seen once, also while the ledger is compacted. Read the rows of one job by the
+    job's folder; once compacted, a run has no folder of its own.
+    """
+    return read_compacted(spark, path, LEDGER_SCHEMA)
+
+
+def compact_ledger(
+    spark: SparkSession, path: str, min_files: int = 8, keep_seconds: float = 86_400.0
+) -> int:
+    """Rewrite the small files of a ledger while runs append to it; the jobs rewritten.
+
+    One Spark job rewrites every job that has `min_files` new files; jobs keep manifests of
+    their own, so a run still lists its job's folder only. See `millrace.sources.compaction`.
+    """
+    return compact(spark, path, LEDGER_SCHEMA, min_files, keep_seconds)
 
 
 def run_state(ledger: DataFrame) -> DataFrame:
