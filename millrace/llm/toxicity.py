@@ -44,11 +44,11 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(crc32_of_id(doc_id) % FOLDS == 0, F.lit(False))
 
 
-def log_ratios(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
-    """Logarithm of how much commoner each feature is in toxic texts; 0 for those met once."""
-    ratio = np.log((with_toxic + 1) / (toxic + 2)) - np.log((with_clean + 1) / (clean + 2))
-    ratio[with_toxic + with_clean < 2] = 0
-    return ratio
+def log_odds() -> F.Column:
+    """Per feature the logarithm of toxic against clean texts that have it, each count plus 1; of
+    all texts (feature -1) each plus 2. A ratio is that of its feature less that of all texts."""
+    more = F.when(F.col("feature") < 0, 2).otherwise(1)
+    return (F.log(F.col("toxic") + more) - F.log(F.col("clean") + more)).cast("float")
 
 
 def fit(sets: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
@@ -160,14 +160,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where("toxic + clean >= 2 OR feature = -1")  # the ratio of the others is 0
+        .select("feature", log_odds().alias("odds"))
         .toArrow()
     )
-    feature, toxic, clean = (counted.column(c).to_numpy() for c in ("feature", "toxic", "clean"))
-    del counted
-    of_all, ratio = feature < 0, np.zeros(size, np.float32)  # in the driver: only features that occur
-    ratio[feature[~of_all]] = log_ratios(toxic[~of_all], clean[~of_all], toxic[of_all].sum(), clean[of_all].sum())
-    del feature, toxic, clean
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    feature, odds = counted.column("feature").to_numpy(), counted.column("odds").to_numpy()
+    ratio = np.zeros(size + 1, np.float32)  # the last one, feature -1, is that of all texts
+    ratio[feature] = odds
+    ratio[feature[feature >= 0]] -= ratio[-1]
+    del counted, feature, odds
+    pa.default_memory_pool().release_unused()
+    shared = docs.sparkSession.sparkContext.broadcast(ratio[:-1])
 
     halves = [
         known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
@@ -192,6 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     model = (
         sets.join(F.broadcast(within), "doc_id").groupBy().applyInArrow(work, "weights binary, level double").first()
     )
+    shared.destroy()  # nothing that is still to be computed needs the ratios
     if model is None:
         return fit([], np.empty(0), np.zeros(size))
     return np.frombuffer(model.weights, np.float32), model.level
