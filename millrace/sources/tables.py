@@ -23,6 +23,9 @@ FULL_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+#: Applications and the local folders that their executors were found to share.
+_SHARED: set[tuple[str, str]] = set()
+
 
 def _checked(fmt: str) -> str:
     if fmt not in FORMATS:
@@ -138,7 +141,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: that of spark.checkpoint.dir, else the warehouse.
 
     No setting of the session is changed. A folder named without a file system is given the
-    cluster's own, and one of the local file system serves a local session only.
+    cluster's own. One of the local file system serves a cluster only where it is a mount that
+    driver and executors share, which is tried once by a small job.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.sql.warehouse.dir", None
@@ -149,9 +153,40 @@ def shared_folder(spark: SparkSession) -> str:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         system = path.getFileSystem(spark._jsc.hadoopConfiguration())
         folder = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
-    if not folder or folder.startswith("file:"):
-        raise ValueError("spark.checkpoint.dir is not set to a folder all executors share")
-    return folder.rstrip("/")
+    refusal = "spark.checkpoint.dir is not set to a folder all executors share"
+    if not folder:
+        raise ValueError(refusal)
+    folder = folder.rstrip("/")
+    if folder.startswith("file:"):
+        try:
+            shared = _is_shared(spark, folder)
+        except Exception as error:
+            raise ValueError(refusal) from error
+        if not shared:
+            raise ValueError(refusal)
+    return folder
+
+
+def _is_shared(spark: SparkSession, folder: str) -> bool:
+    """Whether what tasks write into a local folder comes back whole, for the driver lists the
+    files and other tasks read them. Executors that join later are not tried."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _SHARED:
+        tasks = 2 * spark.sparkContext.defaultParallelism
+        trial, rows = f"{folder}/trial-{uuid.uuid4().hex}", spark.range(0, tasks, 1, tasks)
+        try:
+            rows.write.parquet(trial)
+            if spark.read.schema(rows.schema).parquet(trial).count() < tasks:
+                return False
+        finally:
+            _delete(spark, trial)
+        _SHARED.add(known)
+    return True
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -187,5 +222,4 @@ class StagedTable:
 
     def drop(self) -> None:
         """Delete the written table; `df` cannot be used any more."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        _delete(self.spark, self.path)

@@ -199,6 +199,41 @@ def test_a_cluster_must_name_its_shared_folder():
             m.shared_folder(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": folder}))
 
 
+class OnCluster(Session):
+    """A session with settings of a cluster, whose reader sees some files only where asked to."""
+
+    def __init__(self, spark, files="*", **settings):
+        super().__init__(**{"spark.master": "spark://host:7077"} | settings)
+        self.spark, self.files = spark, files
+
+    @property
+    def read(self):
+        return self.spark.read.option("pathGlobFilter", self.files)
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+
+def test_a_cluster_may_name_a_mount_that_its_executors_share(spark, small, tmp_path):
+    for folder in (tmp_path / "a", f"file://{tmp_path}/b/"):
+        session = OnCluster(spark, **{"spark.checkpoint.dir": str(folder)})
+        path = m.new_folder(session, "orders")
+        assert path.startswith("file:/") and f"{tmp_path}/" in path
+        assert not list(tmp_path.glob("*/trial-*"))
+        m.write_table(small, path)
+        assert rows(m.read_table(session, path)) == rows(small)
+    warehouse = OnCluster(spark, **{"spark.sql.warehouse.dir": f"file:{tmp_path}/w"})
+    assert m.shared_folder(warehouse) == f"file:{tmp_path}/w"
+
+
+def test_a_cluster_may_not_name_a_folder_that_loses_files(spark, tmp_path):
+    for folder, files in ((tmp_path / "c", "part-00000*"), ("/proc/none", "*")):
+        session = OnCluster(spark, files, **{"spark.checkpoint.dir": str(folder)})
+        for _ in range(2):
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                m.shared_folder(session)
+
+
 def test_a_local_session_falls_back_to_the_warehouse_and_keeps_its_settings():
     settings = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/data/warehouse"}
     local = Session(**settings)
