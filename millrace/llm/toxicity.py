@@ -10,6 +10,7 @@ Whole texts are read, in training and in scoring.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,10 @@ SAMPLE = 8000
 #: Features of all rows the regression is fitted on, at most: four bytes each in the one task that
 #: fits. Rows are taken by the hash of their id until the next would go beyond it.
 FIT_FEATURES = 1 << 25
+#: Features whose counts travel together.
+WIDE = 1 << 13
+#: Bits of the broadcast marks that tell most documents without a label before the join with labels.
+MARKS = 1 << 25
 #: Cost of a row's loss against the squared weights, and the change at which the fit has converged.
 COST, STILL, ROUNDS = 0.3, 1e-3, 200
 #: Added to the intercept, since a toxic text that is missed costs more than a clean one flagged.
@@ -99,21 +104,33 @@ def _least(margin: float, share: float, length: float, cost: float) -> float:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per feature of this task's texts how many toxic and clean ones have it; -1 stands for all."""
+    """How many clean and toxic ones of this task's texts have each feature, as compressed arrays of
+    WIDE features; behind the last feature stands the one that all texts have."""
     features = Tiers(ORDERS, BITS, TIERS)
-    seen, all_ = np.zeros((2, features.size), np.int32), np.zeros(2, np.int64)
+    seen = np.zeros((2, features.size + WIDE), np.int32)
     for batch in batches:
         for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
             seen[toxic, features.of(text.as_py() or "")] += 1
-            all_[toxic] += 1
-    if all_.any():
-        where = np.flatnonzero(seen.any(0))
-        feature = np.r_[-1, where].astype(np.int32)
-        counts = np.c_[all_, seen[:, where].astype(np.int64)]
-        for at in range(0, len(feature), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            columns = [feature[part], counts[1, part], counts[0, part]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["feature", "toxic", "clean"])
+            seen[toxic, features.size] += 1
+    parts = seen.reshape(2, -1, WIDE)
+    where = np.flatnonzero(parts.any((0, 2)))
+    packed = [
+        zlib.compress(parts[:, at].astype(np.min_scalar_type(parts[:, at].max())).tobytes(), 1) for at in where
+    ]
+    yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(packed, pa.binary())], ["part", "counts"])
+
+
+def _added(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per feature of one part how many toxic and clean texts have it; -1 stands for all."""
+    total = np.zeros((2, WIDE), np.int64)
+    for batch in batches:
+        for packed in batch.column("counts"):
+            raw = zlib.decompress(packed.as_py())
+            total += np.frombuffer(raw, f"u{len(raw) // total.size}").reshape(total.shape)
+    where, first = np.flatnonzero(total.any(0)), key[0].as_py() * WIDE
+    feature = np.where(where + first == len(TIERS) << BITS, -1, where + first).astype(np.int32)
+    columns = [feature, total[1, where], total[0, where]]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["feature", "toxic", "clean"])
 
 
 def _sets(shared):
@@ -126,16 +143,38 @@ def _sets(shared):
                 part = batch.slice(at, 64)
                 found = [features.of(t or "") for t in part.column("text").to_pylist()]
                 found = [f[counts[f]] for f in found]
-                offsets = np.r_[0, np.cumsum([len(f) for f in found])]
-                values = np.concatenate([np.empty(0, int), *found]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+                size, packed = [len(f) for f in found], [_packed(f) for f in found]
+                columns = [part.column("doc_id"), pa.array(size, pa.int32()), pa.array(packed, pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), lists, part.column("toxic")], ["doc_id", "features", "toxic"]
+                    [*columns, part.column("toxic")], ["doc_id", "size", "features", "toxic"]
                 )
 
     return work
 
 
+def _packed(features: np.ndarray) -> bytes:
+    """Ascending features by their distances, compressed."""
+    return zlib.compress(np.diff(features, prepend=0).astype(np.int32).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.int32), dtype=np.int32)
+
+
+def _likely(own: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of `own` that may have a label: all that have one, and few others while labels are few
+    against MARKS. So a join sends few texts about that find nothing."""
+    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(MARKS)) + 1
+    marks = known.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_marks")
+    )
+    byte = F.expr("hex(substring(_marks, CAST(_at DIV 8 AS INT) + 1, 1))")
+    marked = F.conv(byte, 16, 10).cast("int").bitwiseAND(F.expr("shiftleft(1, CAST(_at % 8 AS INT))")) != 0
+    found = own.withColumns({"_bucket": F.bitmap_bucket_number(spot), "_at": F.bitmap_bit_position(spot)})
+    # MARKS bits at most, however many labels there are.
+    return found.join(F.broadcast(marks), "_bucket").where(marked).select(*own.columns)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Ratios from all labelled documents outside the held-out fold, weights from a sample.
 
@@ -154,11 +193,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     )
     own = docs.select("doc_id", "text").where("doc_id IS NOT NULL").where(~held_out())
     counted = (
-        own.join(known, "doc_id")
+        _likely(own, known)
+        .join(known, "doc_id")
         .select("text", "toxic")
-        .mapInArrow(_count, "feature int, toxic long, clean long")
-        .groupBy("feature")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .mapInArrow(_count, "part int, counts binary")
+        .groupBy("part")
+        .applyInArrow(_added, "feature int, toxic long, clean long")
         .where("toxic + clean >= 2 OR feature = -1")  # the ratio of the others is 0
         .select("feature", log_odds().alias("odds"))
         .toArrow()
@@ -183,13 +223,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
 
     def work(chosen: pa.Table) -> pa.Table:
         chosen = chosen.sort_by("doc_id")
-        sets = [s.values.to_numpy() for s in chosen.column("features")]
+        sets = [_unpacked(s.as_py()) for s in chosen.column("features")]
         weights, level = fit(sets, chosen.column("toxic").to_numpy(), shared.value)
         return pa.table({"weights": [weights.tobytes()], "level": [level]})
 
-    sets = checkpoint(texts.mapInArrow(_sets(shared), "doc_id long, features array<int>, toxic int"))
+    sets = checkpoint(texts.mapInArrow(_sets(shared), "doc_id long, size int, features binary, toxic int"))
     by_hash = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # `sample` rows of two numbers
-    sizes = sets.select("doc_id", F.sum(F.size("features")).over(by_hash).alias("until"))
+    sizes = sets.select("doc_id", F.sum("size").over(by_hash).alias("until"))
     within = sizes.where(F.col("until") <= FIT_FEATURES).select("doc_id")
     model = (
         sets.join(F.broadcast(within), "doc_id").groupBy().applyInArrow(work, "weights binary, level double").first()

@@ -59,6 +59,41 @@ def test_repetition_decides_and_slices_do_not_matter(monkeypatch):
     assert np.sort(tiers.of(text)).tolist() == whole.tolist()
 
 
+def test_counts_and_sets_travel_in_few_bytes(spark):
+    draw = np.random.default_rng(5)
+    words = ["".join(map(chr, draw.integers(97, 123, 6))) for _ in range(3000)]
+    texts = [" ".join(draw.choice(words, 300)) for _ in range(200)] + ["", None]
+    toxic = [int(t) for t in draw.integers(0, 2, len(texts))]
+    rows = spark.createDataFrame(list(zip(texts, toxic)), "text string, toxic int").repartition(3)
+    handed = rows.mapInArrow(toxicity._count, "part int, counts binary").collect()
+    found = rows.mapInArrow(toxicity._count, "part int, counts binary").groupBy("part")
+    found = found.applyInArrow(toxicity._added, "feature int, toxic long, clean long").collect()
+
+    tiers, wanted = ngrams.Tiers(toxicity.ORDERS, toxicity.BITS, toxicity.TIERS), {}
+    for text, label in zip(texts, toxic):
+        for feature in [-1, *tiers.of(text or "").tolist()]:
+            wanted.setdefault(feature, [0, 0])[label] += 1
+    assert {r.feature: [r.clean, r.toxic] for r in found} == wanted and len(found) == len(wanted)
+    # A row of three numbers for each feature of each of the three tasks took 20 bytes.
+    assert sum(len(r.counts) for r in handed) < 3 * 5 * len(wanted)
+    for text in texts:
+        features = tiers.of(text or "")
+        assert np.array_equal(toxicity._unpacked(toxicity._packed(features)), features)
+        assert len(toxicity._packed(features)) < 3 * len(features) + 32
+
+
+def test_texts_without_a_label_stay_where_they_are(spark):
+    ids = [0, -1, 1, 2**62, -(2**62), *range(1000, 3000)]
+    own = spark.createDataFrame([(i, f"text {i}") for i in ids for _ in range(2)], "doc_id long, text string")
+    for some in (ids[::3], ids, []):
+        known = spark.createDataFrame([(i, i % 2) for i in some], "doc_id long, toxic int")
+        left = [tuple(r) for r in toxicity._likely(own, known).collect()]
+        assert {(i, f"text {i}") for i in some} <= set(left) and len(left) == 2 * len(set(left))
+        assert len(left) <= 2 * len(some) + 10
+    narrow = spark.createDataFrame([(1000, 1)], "doc_id int, toxic int")
+    assert toxicity._likely(own, narrow).where("doc_id = 1000").count() == 2
+
+
 def test_language_on_the_held_out_fold(spark):
     found = queries.QUERIES["op7_language_families"](spark, SF_DIR).collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
