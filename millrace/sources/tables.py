@@ -23,7 +23,7 @@ FULL_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
-#: Applications and the local folders that their executors were found to share.
+#: Applications and the folders that were found to serve them.
 _SHARED: set[tuple[str, str]] = set()
 
 
@@ -140,31 +140,51 @@ def driver_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructT
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: that of spark.checkpoint.dir, else the warehouse.
 
-    No setting of the session is changed. A folder named without a file system is given the
-    cluster's own. One of the local file system serves a cluster only where it is a mount that
-    driver and executors share, which is tried once by a small job.
+    No setting of the session is changed. The first of the two that serves is taken, each tried once
+    a session; where none does, the error says what became of them. A folder named without a file
+    system is given the cluster's own. One of the local file system serves a cluster only where it
+    is a mount that driver and executors share, which is tried by a small job; a local session must
+    be able to make folders in it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir", None
-    )
+    named = [spark.conf.get(key, None) for key in ("spark.checkpoint.dir", "spark.sql.warehouse.dir")]
+    folders = [f.rstrip("/") for f in named if f]
     if spark.conf.get("spark.master", "").startswith("local"):
-        return (folder or "spark-warehouse").rstrip("/")
-    if folder and not re.match("[A-Za-z][A-Za-z0-9+.-]*:", folder):
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        folder = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
-    refusal = "spark.checkpoint.dir is not set to a folder all executors share"
-    if not folder:
-        raise ValueError(refusal)
-    folder = folder.rstrip("/")
-    if folder.startswith("file:"):
+        folders = folders or ["spark-warehouse"]
+        return next((f for f in folders[:-1] if _is_writable(spark, f)), folders[-1])
+    refused, cause = [], None
+    for folder in folders:
         try:
-            shared = _is_shared(spark, folder)
+            if not re.match("[A-Za-z][A-Za-z0-9+.-]*:", folder):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+                folder = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+            if not folder.startswith("file:") or _is_shared(spark, folder):
+                return folder
+            refused.append(f"{folder} loses files")
         except Exception as error:
-            raise ValueError(refusal) from error
-        if not shared:
-            raise ValueError(refusal)
-    return folder
+            refused.append(f"{folder}: {str(error).strip().partition(chr(10))[0]}")
+            cause = error
+    refusal = "spark.checkpoint.dir is not set to a folder all executors share"
+    raise ValueError("; ".join([refusal, *refused])) from cause
+
+
+def _is_writable(spark: SparkSession, folder: str) -> bool:
+    """Whether the driver can make a folder there; taken for granted without a JVM to ask."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return True
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _SHARED:
+        trial = jvm.org.apache.hadoop.fs.Path(f"{folder}/trial-{uuid.uuid4().hex}")
+        try:
+            system = trial.getFileSystem(spark._jsc.hadoopConfiguration())
+            if not system.mkdirs(trial):
+                return False
+            system.delete(trial, True)
+        except Exception:
+            return False
+        _SHARED.add(known)
+    return True
 
 
 def _is_shared(spark: SparkSession, folder: str) -> bool:
