@@ -137,7 +137,7 @@ def _sets(shared):
     """The features of each text whose ratio is not 0; others have no part in a fit."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, counts = Tiers(ORDERS, BITS, TIERS), shared.value != 0
+        features, counts = Tiers(ORDERS, BITS, TIERS), _spread(shared.value) != 0
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
@@ -161,6 +161,15 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(packed), np.int32), dtype=np.int32)
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """A number per feature, mostly 0, for the way through the driver's JVM, which holds copies."""
+    return zlib.compress(np.ascontiguousarray(values, np.float32), 1)
+
+
+def _spread(squeezed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(squeezed), np.float32)
+
+
 def _likely(own: DataFrame, known: DataFrame) -> DataFrame:
     """Rows of `own` that may have a label: all that have one, and few others while labels are few
     against MARKS. So a join sends few texts about that find nothing."""
@@ -209,7 +218,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     ratio[feature[feature >= 0]] -= ratio[-1]
     del counted, feature, odds
     pa.default_memory_pool().release_unused()
-    shared = docs.sparkSession.sparkContext.broadcast(ratio[:-1])
+    shared = docs.sparkSession.sparkContext.broadcast(_squeezed(ratio[:-1]))
+    del ratio
 
     halves = [
         known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
@@ -224,8 +234,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     def work(chosen: pa.Table) -> pa.Table:
         chosen = chosen.sort_by("doc_id")
         sets = [_unpacked(s.as_py()) for s in chosen.column("features")]
-        weights, level = fit(sets, chosen.column("toxic").to_numpy(), shared.value)
-        return pa.table({"weights": [weights.tobytes()], "level": [level]})
+        weights, level = fit(sets, chosen.column("toxic").to_numpy(), _spread(shared.value))
+        return pa.table({"weights": [_squeezed(weights)], "level": [level]})
 
     sets = checkpoint(texts.mapInArrow(_sets(shared), "doc_id long, size int, features binary, toxic int"))
     by_hash = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # `sample` rows of two numbers
@@ -237,7 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     shared.destroy()  # nothing that is still to be computed needs the ratios
     if model is None:
         return fit([], np.empty(0), np.zeros(size))
-    return np.frombuffer(model.weights, np.float32), model.level
+    return _spread(model.weights), model.level
 
 
 def score(
@@ -248,14 +258,14 @@ def score(
     Only the text decides; a null or empty one has no n-grams. A column named `score` in `docs`
     gives way. Repeated rows and null ids are rows like others.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((_squeezed(model[0]), model[1]))
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != "score"]
     row = F.struct(*[docs[c] for c in kept]).alias("row")
     carried = "text" in kept
     slim = docs.select(row) if carried else docs.select(row, docs["text"].alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, level = shared.value
+        weights, level = _spread(shared.value[0]), shared.value[1]
         features = Tiers(ORDERS, BITS, TIERS)
         for batch in batches:
             rows = batch.column("row")

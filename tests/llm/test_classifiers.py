@@ -1,5 +1,6 @@
 """Toxicity and language ID: held-out accuracy, and rows out of the ordinary."""
 
+import pickle
 import zlib
 
 import numpy as np
@@ -141,3 +142,24 @@ def test_family_first_then_pairs_within_it():
     assert machines.families == ["germanic", "romance"]
     assert [len(p) for p in machines.pairs] == [1, 1]
     assert all(machines.predict(t)[0] == g for t, g in texts)
+
+
+def test_what_the_driver_hands_on_of_a_toxicity_model_is_small(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    sent, broadcast, first = [], type(spark.sparkContext).broadcast, type(docs).first
+
+    def noted(self, value):
+        sent.append(len(pickle.dumps(value)))
+        return broadcast(self, value)
+
+    def taken(self):
+        row = first(self)
+        sent.append(len(pickle.dumps(row)))
+        return row
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", noted)
+    monkeypatch.setattr(type(docs), "first", taken)
+    weights, level = model = toxicity.train(docs, labels)
+    toxicity.score(docs, model)
+    assert weights.dtype == np.float32 and len(weights) == len(toxicity.TIERS) << toxicity.BITS and weights.any()
+    assert len(sent) == 3 and max(sent) < weights.nbytes / 4
